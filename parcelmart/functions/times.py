@@ -66,6 +66,11 @@ def parse_seconds(c: Column | str, fmt: str) -> Column:
     return F.unix_timestamp(parse_time(c, fmt))
 
 
+def days_ms(days: Column | str) -> Column:
+    """A number of days in milliseconds."""
+    return _col(days).cast("bigint") * F.lit(DAY_MS)
+
+
 def days_between(end_ms: Column | str, start_ms: Column | str) -> Column:
     """Elapsed time in days, with fraction."""
     return (_col(end_ms) - _col(start_ms)) / F.lit(DAY_MS)

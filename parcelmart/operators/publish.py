@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,3 +41,21 @@ def publish(
         writer = writer.partitionBy(*partition_by)
     writer.save(target)
     return spark.read.schema(rows.schema).format(fmt).load(target).select(*rows.columns)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back, which cuts its lineage.
+
+    Columnar files keep column pruning for what reads them. Without a shared folder the plan stays
+    as it is on a cluster, as no machine-local folder would survive a lost executor there; a local
+    session gets a temporary folder.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            return df
+        folder = tempfile.mkdtemp(prefix="parcelmart-")
+    path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

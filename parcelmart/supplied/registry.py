@@ -20,10 +20,10 @@ class Supplied:
     """The supplied tables as attributes."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder = spark, folder
+        self.spark, self._folder = spark, folder
 
     def __getattr__(self, table: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{table}.parquet")
+        return self.spark.read.parquet(f"{self._folder}/{table}.parquet")
 
 
 def query(sql: str, name: str | None = None):
