@@ -44,19 +44,22 @@ def enrich(
     keys = list(on)
     if take is None:
         take = {c: c for c in dim.columns if c not in keys}
-    columns = [F.col(c) if isinstance(c, str) else c for c in take.values()]
+    # Joining by shared names keeps the plan short: one step, no key columns to drop after it.
+    shared = when is None and all(isinstance(k, str) for k in on.values())
+    shared = shared and len(set(on.values())) == len(keys) and not set(on.values()) & set(take)
+    names = list(on.values()) if shared else [f"_key_{i}" for i in range(len(keys))]
     right = dim.select(
-        *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)],
-        *[c.alias(name) for name, c in zip(take, columns)],
+        *[F.col(k).alias(name) for k, name in zip(keys, names)],
+        *[(F.col(c) if isinstance(c, str) else c).alias(out) for out, c in take.items()],
     )
     # NULL keys never match; dropping them keeps them out of the shuffle.
-    right = right.dropna(subset=[f"_key_{i}" for i in range(len(keys))])
+    right = right.dropna(subset=names)
     if unique:
-        right = single(right, [f"_key_{i}" for i in range(len(keys))])
+        right = single(right, names)
+    if shared:
+        return df.join(right, names, how)
     condition = when
-    for i, key in enumerate(keys):
-        left_key = on[key]
-        left_col = F.col(left_key) if isinstance(left_key, str) else left_key
-        equal = left_col == F.col(f"_key_{i}")
+    for left_key, name in zip(on.values(), names):
+        equal = (F.col(left_key) if isinstance(left_key, str) else left_key) == F.col(name)
         condition = equal if condition is None else condition & equal
-    return df.join(right, condition, how).drop(*[f"_key_{i}" for i in range(len(keys))])
+    return df.join(right, condition, how).drop(*names)

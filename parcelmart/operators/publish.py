@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +44,11 @@ def publish(
     return spark.read.schema(rows.schema).format(fmt).load(target).select(*rows.columns)
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="parcelmart-")
+
+
 def stage(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back, which cuts its lineage.
 
@@ -55,7 +61,7 @@ def stage(df: DataFrame) -> DataFrame:
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             return df
-        folder = tempfile.mkdtemp(prefix="parcelmart-")
+        folder = _local_folder()
     path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
