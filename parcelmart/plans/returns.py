@@ -148,13 +148,14 @@ def pickup_attempt_counts(t: Tables) -> DataFrame:
         ]
     )
     names = [f"attempts_{group}" for group in V.PICKUP_ATTEMPT_CODES]
-    rows = enrich(current, counted, {"awb": "current_awb"}, {n: n for n in names}, how="inner")
-    # Shipments scanned under one waybill may have different counts; each count of one code goes with
-    # each count of the other.
-    rows = rows.groupBy("return_shipment_id").agg(*[F.collect_set(F.when(c(n) > 0, c(n))).alias(n) for n in names])
+    # Only the different counts under a waybill matter, so they are reduced to those before the join:
+    # a placeholder waybill on very many shipments still is one row.
+    per_awb = counted.groupBy("awb").agg(*[F.collect_set(F.when(c(n) > 0, c(n))).alias(n) for n in names])
+    rows = enrich(current, per_awb, {"awb": "current_awb"}, {n: n for n in names}, how="inner")
+    # Each count of one code goes with each count of the other.
     for n in names:
         rows = rows.withColumn(n, F.explode_outer(n))
-    return rows
+    return rows.drop("current_awb")
 
 
 def pickup_failures(t: Tables) -> DataFrame:

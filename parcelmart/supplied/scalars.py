@@ -240,18 +240,19 @@ def lane_zone(t):
     return t.customer.select("c_custkey", R.lane_name(zone).alias("lane"), R.lane_zone(zone).alias("zone"))
 
 
-_TAXONOMY = {
-    "error": [
-        Rule("has", "99", "Ninety nine"),
-        Rule("head", "k=10", "Ten"),
-        Rule("is", "k=2:error", "Two"),
-        Rule("is", "k=3:error", "Two"),
-        Rule("starts", "k=1", "One and teens"),
-        Rule("has", "7", None),
-    ],
-    "click": [Rule("second", "click", F.col("event_type"))],
-    "view": [Rule("head", "k=5", "Five"), Rule("has", "5", "Some five")],
-}
+def _event_rules() -> dict[str, list[Rule]]:
+    return {
+        "error": [
+            Rule("has", "99", "Ninety nine"),
+            Rule("head", "k=10", "Ten"),
+            Rule("is", "k=2:error", "Two"),
+            Rule("is", "k=3:error", "Two"),
+            Rule("starts", "k=1", "One and teens"),
+            Rule("has", "7", None),
+        ],
+        "click": [Rule("second", "click", F.col("event_type"))],
+        "view": [Rule("head", "k=5", "Five"), Rule("has", "5", "Some five")],
+    }
 
 
 @query("""
@@ -270,7 +271,7 @@ FROM (SELECT event_id, event_type, concat('k=', json_extract_string(props, '$.k'
 def taxonomy(t):
     """First matching rule of the group, in order."""
     text = F.concat(F.lit("k="), json_text("props", "$.k"), F.lit(":"), F.col("event_type"))
-    reason = R.classify(F.col("event_type"), text, _TAXONOMY, default="Miscellaneous")
+    reason = R.classify(F.col("event_type"), text, _event_rules(), default="Miscellaneous")
     return t.events.select("event_id", reason.alias("reason"))
 
 

@@ -1,0 +1,255 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+from tests.conftest import ist
+
+from parcelmart.functions import rules as R
+from parcelmart.functions import text as X
+from parcelmart.functions import times as T
+from parcelmart.params import RunParams
+from parcelmart.plans import vendors as V
+from parcelmart.plans.shipments import seller_promise
+
+
+def one(spark, *columns):
+    return spark.range(1).select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).first()
+
+
+def test_times_cross_the_ist_midnight(spark):
+    late = ist("2018-09-01 00:10")  # still the day before in UTC
+    row = one(
+        spark,
+        T.ist_format(F.lit(late), T.DAY_TIME),
+        T.ist_format(F.lit(late), T.ISO_DAY),
+        T.ist_date(F.lit(late)),
+        T.ist_midnight(F.lit(late)) - T.ist_ms(F.lit(late)),
+        T.ist_format_s(F.lit(late // 1000), T.DAY),
+        T.month_day_label(T.ist_date(F.lit(late))),
+    )
+    assert list(row) == ["01-09-2018 00:10:00", "2018-09-01", date(2018, 9, 1), -600_000, "01-09-2018", "09/ 01"]
+
+
+def test_bad_text_gives_null(spark):
+    row = one(
+        spark,
+        T.ms_of(F.lit("1535999400000")),
+        T.ms_of(F.lit("1.6E12")),
+        T.ms_of(F.lit("soon")),
+        T.parse_time(F.lit("31-02-x"), T.DAY),
+        T.parse_seconds(F.lit("02-01-1970"), T.DAY),
+        X.part_of(F.lit("a-b"), "-", 5),
+        X.json_text(F.lit("{broken"), "$.a"),
+        X.json_number(F.lit('{"a":"x"}'), "$.a"),
+    )
+    assert list(row) == [1_535_999_400_000, 1_600_000_000_000, None, None, 86_400, None, None, None]
+
+
+def test_days(spark):
+    day = T.DAY_MS
+    null = F.lit(None).cast("bigint")
+    row = one(
+        spark,
+        T.whole_days(F.lit(day * 5 // 2), F.lit(0)),
+        T.floor_zero(T.whole_days(F.lit(0), F.lit(day * 3))),
+        T.floor_zero(T.whole_days(null, F.lit(0))),
+        T.days_between(F.lit(day // 2), F.lit(0)),
+        T.days_ms(F.lit(400).cast("int")),
+    )
+    assert list(row) == [3.0, 0.0, None, 0.5, 400 * day]
+
+
+@pytest.mark.parametrize(
+    "document",
+    [
+        '{"a":{"b":"x","l":["p","q"]},"o":{"k":1},"t":true,"n":12}',
+        '{"a":{"b":null,"l":[]}}',
+        "{broken",
+        "[]",
+        None,
+    ],
+)
+def test_one_parse_reads_what_single_paths_read(spark, document):
+    paths = {"b": "$.a.b", "first": "$.a.l[0]", "second": "$.a.l[1]", "o": "$.o", "t": "$.t", "n": "$.n", "none": "$.z.y"}
+    column = F.lit(document).cast("string")
+    together = one(spark, *X.json_fields(column, paths))
+    single = one(spark, *[F.get_json_object(column, p) for p in paths.values()])
+    assert list(together) == list(single)
+
+
+def test_nested_and_root_json(spark):
+    row = one(
+        spark,
+        X.json_text(F.lit('[{"listingId":"L1"}]'), "$[0]", "$.listingId"),
+        X.json_text(F.lit('{"in":"{\\"k\\":\\"v\\"}"}'), "$.in", "$.k"),
+        X.address_line(F.lit('{"address_line1":"a","address_line2":"b","address_line3":"c"}')),
+        X.address_line(F.lit('{"address_line1":"a"}')),
+        X.without_breaks(F.lit("a\tb\r\nc")),
+    )
+    assert list(row) == ["L1", "v", "a, b, c", None, "abc"]
+
+
+def test_extract_id(spark):
+    note = F.lit('{"orderId":"OD123456789012","returnId":"XX123456789012","issueId":"SI1234567"}')
+    row = one(
+        spark,
+        X.extract_id(note, "orderId", "OD", 14),
+        X.extract_id(note, "returnId", "RT", 14),
+        X.extract_id(note, "issueId", "SI", 9),
+        X.extract_id(F.lit("nothing here"), "orderId", "OD", 14),
+    )
+    assert list(row) == ["OD123456789012", None, "SI1234567", None]
+
+
+def test_lanes_and_spreads(spark):
+    zones = ["LU_FAR", "ZSU", "NM", "??", None]
+    got = [one(spark, R.lane_name(z), R.lane_zone(z), R.lane_group(z)) for z in (F.lit(z).cast("string") for z in zones)]
+    assert [tuple(r) for r in got] == [
+        ("LU", "Local", "Local"),
+        ("ZSU", "Zonal", "Zonal"),
+        ("NM", "National", "National"),
+        ("??", "National", None),
+        (None, "National", None),
+    ]
+    days = [0.9, 1.0, 1.9, 2.0, 4.9, 5.0, None]
+    assert [one(spark, R.spread(F.lit(d).cast("double")))[0] for d in days] == ["0", "1", "1", "2_5", "2_5", "5+", None]
+
+
+def test_flags_keep_unknown(spark):
+    null = F.lit(None).cast("boolean")
+    assert list(one(spark, R.sla_flag(F.lit(True)), R.sla_flag(F.lit(False)), R.sla_flag(null))) == [
+        "Within_SLA",
+        "Outside_SLA",
+        None,
+    ]
+
+
+@pytest.mark.parametrize(
+    "zone, ordered, expected",
+    [
+        ("LU_MED", "2018-08-31 23:59", date(2018, 9, 15)),
+        ("LU_MED", "2018-09-01 00:00", date(2018, 9, 20)),
+        ("ZR", "2018-08-31 12:00", date(2018, 9, 22)),
+        ("ZR", "2018-09-01 12:00", date(2018, 9, 27)),
+        ("NM", "2018-08-31 12:00", date(2018, 9, 27)),
+        ("NM", "2018-09-01 12:00", date(2018, 9, 27)),
+        ("NSU", "2018-08-31 12:00", date(2018, 9, 27)),
+        ("NSU", "2018-09-01 12:00", date(2018, 10, 2)),
+        ("??", "2018-09-01 12:00", None),
+    ],
+)
+def test_seller_promise_by_lane_and_regime(spark, zone, ordered, expected):
+    shipped = F.lit(ist("2018-09-10 20:00"))
+    none = F.lit(None).cast("bigint")
+    assert one(spark, seller_promise(F.lit(zone), F.lit(ist(ordered)), shipped, none))[0] == expected
+    given = F.lit(ist("2018-10-30 01:00"))
+    assert one(spark, seller_promise(F.lit(zone), F.lit(ist(ordered)), shipped, given))[0] == date(2018, 10, 30)
+
+
+DELHIVERY = {
+    "Received at destination city": None,
+    "Cash not ready with customer": "COD Amount Not Ready",
+    "Self Collect": "Self collect",
+    "x Customer Cancelled the order y": "Buyer cancelled the order",
+    "Consignee unavailable ": "Buyer not available",
+    "Consignee unavailable": "Miscellaneous",
+    "Asked for delay delivery till 5": "Future delivery requested",
+    "ODA Shipment": "ODA",
+    "Reattempt - As per NDR instructions ": "before",
+    "Returned as per Client Instructions": "before",
+    "Payment Mode / Amt Dispute": "Payment mode dispute",
+    "Heavy Rain/ Fog": "Heavy Rain/ Fog",
+    "unheard of": "Miscellaneous",
+}
+ECOM = {
+    "234 - x": "Address - pincode mismatch",
+    "212": "Buyer Out Of Station",
+    "code 210": "COD Amount Not Ready",
+    "code 2425": "COD Amount Not Ready",
+    "223": "Incomplete address",
+    "1225": "before",
+    "215": "Disturbance/Natural Disaster/Strike",
+    "201 then 234": "Address - pincode mismatch",
+    "999": "Miscellaneous",
+    None: "Miscellaneous",
+}
+XPRESSBEES = {
+    "Wrong Pincode by SR: x": "Address - pincode mismatch",
+    "x:Currency not available by SR:y": "COD Amount Not Ready",
+    "C'nee shifted On Given Address by SR": "Buyer Shifted from the Given Address",
+    "Future Delivery : 3": "Future delivery requested",
+    "Shipment marked as misrouted": "Misrouted",
+    "a Shipment marked as ODA (Out Of Delivery Area), Distance 9:b": "ODA",
+    "Door Closed by SR": "Shop closed",
+    "Address correct -Mobile Unanswered/Not Reachable by SR:1": "Buyer not reachable",
+    "Cash not ready with customer": "Miscellaneous",
+}
+
+
+@pytest.mark.parametrize("name, cases", [("Delhivery", DELHIVERY), ("Ecom Surface", ECOM), ("Xpressbees", XPRESSBEES)])
+def test_clean_reason(spark, name, cases):
+    df = spark.createDataFrame([(name, k) for k in cases], "vendor string, reason string")
+    label = V.clean_reason(V.vendor_group(F.col("vendor")), F.col("reason"), F.lit("before"))
+    got = {r[0]: r[1] for r in df.select("reason", label).collect()}
+    assert got == cases
+
+
+def test_every_reason_rule_is_reachable(spark):
+    """Text made from each rule reaches its own label, unless an earlier rule of the group takes it."""
+    taken = {("delhivery", "Reattempt - As per NDR instructions ")}
+    for group, listed in V.reason_rules(F.lit("before")).items():
+        text = {"second": "x:{}:y", "head": "{}:y", "head has": "a{}b:y", "has": "a{}b", "starts": "{}b", "is": "{}"}
+        rows = [(text[r.how].format(r.pattern), "before" if not isinstance(r.label, (str, type(None))) else r.label) for r in listed]
+        df = spark.createDataFrame(rows, "t string, expected string")
+        got = df.select("t", "expected", V.clean_reason(F.lit(group), F.col("t"), F.lit("before")).alias("got")).collect()
+        assert [(r.t, r.got) for r in got if (group, r.t) not in taken] == [r for r in rows if (group, r[0]) not in taken]
+
+
+@pytest.mark.parametrize(
+    "group, status, code, location, arrived, owner",
+    [
+        ("xpressbees", "SHIPMENT_IN_TRANSIT", "DLVD", None, None, "Buyer"),
+        ("xpressbees", "SHIPMENT_IN_TRANSIT", "RTO-IT", None, None, "Transit"),
+        ("xpressbees", "SHIPMENT_IN_TRANSIT", "RAO", None, None, "Src_Hub"),
+        ("xpressbees", "SHIPMENT_IN_TRANSIT", "PND", None, None, "Seller"),
+        ("xpressbees", "SHIPMENT_IN_TRANSIT", "??", None, None, None),
+        ("delhivery", "SHIPMENT_IN_TRANSIT", "UD_In Transit", None, 1, "Dest_Hub"),
+        ("delhivery", "SHIPMENT_IN_TRANSIT", "UD_In Transit", None, None, "Transit"),
+        ("delhivery", "SHIPMENT_IN_TRANSIT", "DL_RTO", None, None, "Seller"),
+        ("delhivery", "SHIPMENT_IN_TRANSIT", "RTO-OFD", None, None, "Src_Hub"),
+        ("ecom", "SHIPMENT_IN_TRANSIT", "777", "far", None, "Dest_Hub"),
+        ("ecom", "SHIPMENT_RTO", "777", "far", None, None),
+        ("ecom", "SHIPMENT_IN_TRANSIT", "003", "PUNE hub", None, "Dest_Hub"),
+        ("ecom", "SHIPMENT_IN_TRANSIT", "003", "far", None, "Transit"),
+        ("ecom", "SHIPMENT_IN_TRANSIT", "003", None, None, None),
+        ("ecom", "SHIPMENT_DELIVERED", "999", "far", None, "Buyer"),
+        ("ecom", "SHIPMENT_RTO", "201", "far", None, "Src_Hub"),
+        ("ecom", "SHIPMENT_RTO", "1225", "far", None, "Transit"),
+        (None, "SHIPMENT_RTO", "1225", "far", None, None),
+    ],
+)
+def test_current_owner(spark, group, status, code, location, arrived, owner):
+    text = lambda v: F.lit(v).cast("string")
+    column = V.current_owner(text(group), text(status), text(code), text(location), F.lit("pune"), F.lit(arrived).cast("bigint"))
+    assert one(spark, column)[0] == owner
+
+
+def test_waterfall_falls_through_unknown_states(spark):
+    def status(outer, inner, base):
+        text = lambda v: F.lit(v).cast("string")
+        levels = [
+            (text("x"), text(outer), {"A": "outer a"}),
+            (text(None), text(inner), {"*": "never"}),
+            (text("y"), text(inner), {"B": "inner b"}),
+            (text("z"), text(base), {"*": "any"}),
+        ]
+        return one(spark, R.waterfall(levels))[0]
+
+    assert [status("A", "B", "C"), status("?", "B", "C"), status(None, None, None)] == ["outer a", "inner b", "any"]
+
+
+def test_run_params():
+    p = RunParams.at(datetime(2018, 9, 20, 20, 0), 30)
+    assert (p.as_of, p.first_day, p.today) == (date(2018, 9, 20), date(2018, 8, 21), date(2018, 9, 21))

@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+from tests.conftest import values
+
+from parcelmart.operators.publish import publish, stage
+from parcelmart.sources.readers import Sources, schema_of
+from parcelmart.sources.schemas import SCHEMAS
+
+
+def test_schemas_parse():
+    assert len(SCHEMAS) == 75 and all(len(schema_of(t)) for t in SCHEMAS)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_read_files_and_csv(spark, tmp_path, fmt):
+    orgs = spark.createDataFrame([("O1", "One")], "org_id string, display_name string")
+    orgs.write.format(fmt).save(str(tmp_path / "ds_sqls_orgs"))
+    cities = spark.createDataFrame([("18.5", "75.1", "pune")], "lat string, lon string, city string")
+    cities.write.option("header", True).csv(str(tmp_path / "ds_csv_lat_lon"))
+    t = Sources(spark, str(tmp_path), fmt=fmt)
+    assert values(t["ds_sqls_orgs"], "org_id", "display_name", "data") == [("O1", "One", None)]
+    assert values(t["ds_csv_lat_lon"], "city", "lat") == [("pune", "18.5")]
+    with pytest.raises(KeyError):
+        t["unknown"]
+
+
+def test_map_column(spark, tmp_path):
+    df = spark.sql("SELECT 'K' row_key, map('ListingDetails', '[{}]') props")
+    df.write.parquet(str(tmp_path / "ds_azure_table_managedffskus_prod"))
+    props = Sources(spark, str(tmp_path))["ds_azure_table_managedffskus_prod"]
+    assert values(props.select(F.col("props")["ListingDetails"].alias("a"), F.col("props")["none"].alias("b")), "a", "b") == [("[{}]", None)]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_publish_replaces_only_when_complete(spark, tmp_path, fmt):
+    target = str(tmp_path / "mart")
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "id int, name string")
+    assert publish(df, target, fmt=fmt).count() == 2
+    broken = df.withColumn("name", F.when(F.col("id") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("name")))
+    with pytest.raises(Exception, match="boom"):
+        publish(broken, target, fmt=fmt)
+    assert values(spark.read.format(fmt).load(target), "id") == [1, 2]
+    assert values(publish(df.filter("id = 2"), target, fmt=fmt), "id") == [2]
+
+
+def test_publish_partitioned(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    done = publish(df, str(tmp_path / "mart"), partition_by=("id",))
+    assert done.columns == ["id", "name"] and values(done, "id", "name") == [(1, "a"), (2, "b")]
+
+
+def test_stage_uses_the_shared_folder(spark, shared_dir):
+    before = set(os.listdir(shared_dir))
+    assert stage(spark.range(3)).count() == 3
+    (made,) = set(os.listdir(shared_dir)) - before
+    assert made.startswith("stage-")
