@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelmart.operators.rows import keyed
+
 LEFT, INNER = "left", "inner"
 
 
@@ -14,7 +16,7 @@ def single(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows, failing at run time when a key occurs twice."""
     rest = [c for c in df.columns if c not in keys]
     message = F.concat(F.lit(f"duplicate key {list(keys)}: "), F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
-    grouped = df.dropna(subset=list(keys)).groupBy(*keys).agg(
+    grouped = keyed(df, keys).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in rest]
     )
     checked = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
@@ -53,7 +55,7 @@ def enrich(
         *[(F.col(c) if isinstance(c, str) else c).alias(out) for out, c in take.items()],
     )
     # NULL keys never match; dropping them keeps them out of the shuffle.
-    right = right.dropna(subset=names)
+    right = keyed(right, names)
     if unique:
         right = single(right, names)
     if shared:
