@@ -45,3 +45,16 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "GreaterThanOrEqual(ts," in plan
     plan = QUERIES["distinct_parts_per_supplier"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in plan
+
+
+@pytest.mark.parametrize("name", ["second_last_event", "log_semijoin_rank", "collect_types", "any_value_dedupe", "mart_stock"])
+def test_rows_do_not_depend_on_partitioning(spark, name):
+    def rows(partitions: str):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        return sorted(map(tuple, QUERIES[name](spark, FOLDER).collect()), key=repr)
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert rows("2") == rows("7")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
