@@ -6,11 +6,12 @@ by further functions that its own path picks, two at a time, so that a pair of s
 per level. Small nodes compare their classes exhaustively. Independent trees repeat this: a pair at 0.75 that stays in
 small root nodes is missed with probability 0.25 ** trees.
 
-What keeps hot groups linear: every class is first compared with the smallest class of each of its root nodes. The
-verified links give provisional components, and only nodes that hold several components are looked at again, for pairs
-across components. A node that is still large at the last level is compared in blocks, all of it: no cap on partners.
-Candidates whose 64 minwise values agree in fewer than `floor` of the places (5.5 standard deviations below 0.75) are put
-aside; all others are confirmed on the full sets.
+What keeps hot groups linear: every class is first compared with one class of each of its root nodes. The verified links
+give provisional components, and in further rounds those that are not in a node's main component yet are compared with
+other members of it. Only nodes that hold several components after that are looked at again, for pairs across components.
+A node that is still large at the last level is compared in blocks, all of it: no cap on partners. Candidates whose minwise
+values agree in fewer than `floor` of 184 places (5 standard deviations below 0.75) are put aside; all others are confirmed
+on the full sets. Classes are named by 64 bits: two of n sets share a name with a chance of n * n / 2**65.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from parcelmart.llm import bytehash as H
 from parcelmart.llm.staging import components, staged, text_key
 
-FUNCTIONS = 64
+ROOTS = 24  # functions kept with 32 bits, for the roots of trees
+FUNCTIONS = ROOTS + 160  # the others are kept with 16 bits
 _RNG = np.random.default_rng(8)
 _MULTIPLY = _RNG.integers(1, 1 << 63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, FUNCTIONS, dtype=np.uint64)
@@ -40,22 +41,26 @@ def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
             values, begin = H.distinct(values, begin)
             n = np.diff(begin)
             full = np.flatnonzero(n)
-            mins = np.zeros((len(n), FUNCTIONS), np.uint32)
-            mark = np.zeros((len(n), 2), np.uint64)
+            high = np.zeros((len(n), ROOTS), np.uint32)
+            rest = np.zeros((len(n), FUNCTIONS - ROOTS), np.uint16)
+            mark = np.zeros(len(n), np.uint64)
             if len(full):
                 at = begin[:-1][full]
                 for k in range(FUNCTIONS):
-                    mins[full, k] = np.minimum.reduceat(values * _MULTIPLY[k] + _ADD[k], at) >> np.uint64(32)
-                mark[full, 0] = np.add.reduceat(H.mix(values + np.uint64(1)), at)
-                mark[full, 1] = np.add.reduceat(H.mix(values * np.uint64(3)), at)
+                    low = np.minimum.reduceat(values * _MULTIPLY[k] + _ADD[k], at)
+                    if k < ROOTS:
+                        high[full, k] = low >> np.uint64(32)
+                    else:
+                        rest[full, k - ROOTS] = H.mix(low) & np.uint64(0xFFFF)
+                mark[full] = H.mix(np.add.reduceat(H.mix(values + np.uint64(1)), at) ^ (n[full].astype(np.uint64) * H.PLACE[9]))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("_t1"),
                     batch.column("_t2"),
                     pa.array(n.astype(np.int64)),
-                    pa.array([mark[i].tobytes().hex() for i in range(len(n))], pa.string()),
-                    pa.array([mins[i].tobytes() for i in range(len(n))], pa.binary()),
+                    pa.array(mark.view(np.int64)),
+                    pa.array([high[i].tobytes() + rest[i].tobytes() for i in range(len(n))], pa.binary()),
                 ],
                 ["doc_id", "_t1", "_t2", "n_shingles", "node", "sketch"],
             )
@@ -64,15 +69,26 @@ def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
 def sketches(docs: DataFrame, width: int = 5) -> DataFrame:
     """(doc_id, _t1, _t2, n_shingles, node, sketch) per row of docs; node names the shingle set."""
     rows = docs.select("doc_id", F.col("text").alias("_text"), *text_key(F.col("text")))
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _t1 long, _t2 long, n_shingles long, node string, sketch binary"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _t1 long, _t2 long, n_shingles long, node long, sketch binary"
     return rows.mapInArrow(lambda it: _sketch(it, width), schema)
 
 
-def _agreeing(batches: Iterator[pd.DataFrame], floor: float) -> Iterator[pd.DataFrame]:
+def _places(sketch) -> tuple[np.ndarray, np.ndarray]:
+    every = np.frombuffer(b"".join(sketch), np.uint16).reshape(len(sketch), -1)
+    return np.ascontiguousarray(every[:, : 2 * ROOTS]).view(np.uint32), every[:, 2 * ROOTS :]
+
+
+def _share(a: tuple, b: tuple, i, j) -> np.ndarray:
+    """Of two lists of sketches, the share of places in which a[i] and b[j] agree."""
+    return ((a[0][i] == b[0][j]).sum(axis=1) + (a[1][i] == b[1][j]).sum(axis=1)) / FUNCTIONS
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.RecordBatch]:
     for x in batches:
-        if len(x):
-            a, b = (np.frombuffer(b"".join(x[c]), np.uint32).reshape(len(x), -1) for c in ("sketch_a", "sketch_b"))
-            yield x.loc[(a == b).mean(axis=1) >= floor, ["a", "b"]]
+        if x.num_rows:
+            a, b = (_places(x.column(c).to_pylist()) for c in ("sketch_a", "sketch_b"))
+            near = _share(a, b, slice(None), slice(None)) >= floor
+            yield x.filter(pa.array(near)).select(["a", "b"])
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -94,9 +110,8 @@ def _in_nodes(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.Re
     for t in H.whole_groups(batches, "g"):
         group, base = t.column("g").to_numpy(), t.column("is_base").to_numpy(zero_copy_only=False)
         order = np.lexsort((~base, group))
-        name, root = (t.column(c).to_numpy(zero_copy_only=False)[order] for c in ("node", "root"))
-        root = pd.factorize(root)[0]
-        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint32).reshape(len(name), -1)[order]
+        name, root = (t.column(c).to_numpy()[order] for c in ("node", "root"))
+        sketch = _places([x for x in np.array(t.column("sketch").to_pylist(), object)[order]])
         start = np.flatnonzero(np.diff(group[order], prepend=group[order[0]] - 1))
         bases = np.add.reduceat(base[order].astype(np.int64), start)
         asks = np.diff(np.append(start, len(name))) - bases
@@ -110,9 +125,9 @@ def _in_nodes(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.Re
             b, q = first + k % per, first + per + k // per
             other = root[b] != root[q]
             b, q = b[other], q[other]
-            near = (sketch[b] == sketch[q]).mean(axis=1) >= floor
-            x, y = name[b[near]].astype(str), name[q[near]].astype(str)
-            yield pa.RecordBatch.from_arrays([pa.array(np.where(x < y, x, y), pa.string()), pa.array(np.where(x < y, y, x), pa.string())], ["a", "b"])
+            near = _share(sketch, sketch, b, q) >= floor
+            x, y = name[b[near]], name[q[near]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
             cut = end
 
 
@@ -124,20 +139,18 @@ def links(
     trees: int = 20,
     levels: int = 6,
     small: int = 48,
-    block: int = 256,
-    floor: float = 0.45,
+    block: int = 1024,
+    floor: float = 0.59,
+    rounds: int = 3,
 ) -> DataFrame:
     """(a, b): confirmed links between shingle sets, enough to connect all that are connected. `rows` is sketches(docs)."""
     sets = staged(
         rows.where("n_shingles > 0").groupBy("node").agg(F.first("sketch").alias("sketch"), F.min(F.struct("_t1", "_t2", F.coalesce("doc_id", F.lit(-1)).alias("_d"))).alias("t")), "sets"
     )
     value = lambda k: F.substring(F.col("sketch"), F.lit(4) * k + F.lit(1), F.lit(4))
+    short = lambda k: F.substring(F.col("sketch"), F.lit(2) * k + F.lit(4 * ROOTS + 1), F.lit(2))
     roots = sets.select("node", F.posexplode(F.array(*[value(F.lit(k)) for k in range(trees)])).alias("tree", "v"))
     roots = roots.select("node", F.xxhash64("tree", "v").alias("path"))
-    middle = roots.groupBy("path").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1")
-    middle = staged(middle, "middle")
-    stars = roots.join(middle, "path").where("node != b").select(F.col("node").alias("a"), "b").distinct()
-
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
         ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         keys = sets.join(ids, "node").select("node", "t.*")
@@ -145,17 +158,36 @@ def links(
         texts = staged(texts.join(keys, ["_t1", "_t2", "_d"]).groupBy("node").agg(F.first("text").alias("text")), "texts")
         one = lambda s: texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
         both = pairs.join(one("b"), "b").join(one("a"), "a").select("a", "b", "text_a", "text_b")
-        return staged(both.mapInArrow(lambda it: _confirmed(it, width, percent), "a string, b string"), name)
+        return staged(both.mapInArrow(lambda it: _confirmed(it, width, percent), "a long, b long"), name)
 
     side = lambda s: sets.select(F.col("node").alias(s), F.col("sketch").alias(f"sketch_{s}"))
-    near = stars.join(side("b"), "b").join(side("a"), "a")
-    near = staged(near.mapInPandas(lambda it: _agreeing(it, floor), "a string, b string"), "stars")
-    first = confirm(near, "star_links")
+    seen = first = None
+    state = roots.withColumn("root", F.col("node"))
+    for k in range(rounds):
+        # one member per node of its tree: any at first, later one of the component that has most members there
+        size = state.groupBy("path", "root").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(k)), "node")).alias("m"))
+        main = size.groupBy("path").agg(F.max(F.struct("n", "root", "m")).alias("x"), F.count("*").alias("roots")).where("roots > 1")
+        main = staged(main.select("path", F.col("x.root").alias("main"), F.col("x.m.node").alias("b")), "main")
+        pairs = state.join(main, "path").where("root != main")
+        pairs = pairs.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        near = staged(pairs, "pairs").join(side("b"), "b").join(side("a"), "a")
+        near = staged(near.mapInArrow(lambda it: _agreeing(it, floor), "a long, b long"), "near")
+        if near.isEmpty():
+            break
+        linked = confirm(near, "star_links")
+        seen = near if seen is None else seen.unionByName(near)
+        first = linked if first is None else first.unionByName(linked)
+        now = components(first)
+        state = roots.join(now, "node", "left").select("node", "path", F.coalesce("root", "node").alias("root"))
+    if first is None:
+        return sets.sparkSession.createDataFrame([], "a long, b long")
 
     # What stars did not connect: nodes that hold more than one component.
-    named = sets.select("node", "sketch").join(components(first), "node", "left")
+    named = sets.select("node", "sketch").join(now, "node", "left")
     named = named.select("node", "sketch", F.coalesce("root", "node").alias("root"))
-    level = roots.join(named.select("node", "root"), "node")
+    level = state
     found: list[DataFrame] = []
     for depth in range(1, levels + 1):
         about = level.groupBy("path").agg(F.count("*").alias("n"), F.min("root").alias("r1"), F.max("root").alias("r2"))
@@ -167,10 +199,10 @@ def links(
         if depth == levels or large.isEmpty():
             break
         on = large.select("node", "root", "path").join(sets.select("node", "sketch"), "node")
-        pick = F.explode(F.array(*[F.pmod(F.xxhash64("path", F.lit(k)), F.lit(FUNCTIONS)) for k in range(2)])).alias("k")
+        pick = F.explode(F.array(*[F.pmod(F.xxhash64("path", F.lit(k)), F.lit(FUNCTIONS - ROOTS)) for k in range(2)])).alias("k")
         on = on.select("node", "root", "path", "sketch", pick)
-        level = on.select("node", "root", F.xxhash64("path", "k", value(F.col("k").cast("int"))).alias("path")).distinct()
-    across = reduce(DataFrame.unionByName, found).distinct().join(near, ["a", "b"], "left_anti")
+        level = on.select("node", "root", F.xxhash64("path", "k", short(F.col("k").cast("int"))).alias("path")).distinct()
+    across = reduce(DataFrame.unionByName, found).distinct().join(seen, ["a", "b"], "left_anti")
     across = staged(across, "across")
     if across.isEmpty():
         return first
@@ -195,7 +227,7 @@ def _compared(level: DataFrame, named: DataFrame, block: int, floor: float) -> D
     dealt = base.unionByName(asks).join(named.select("node", "sketch"), "node")
     dealt = dealt.select(F.xxhash64("path", "base", "query").alias("g"), "node", "root", "is_base", "sketch")
     dealt = dealt.repartition("g").sortWithinPartitions("g")
-    return dealt.mapInArrow(lambda it: _in_nodes(it, floor), "a string, b string")
+    return dealt.mapInArrow(lambda it: _in_nodes(it, floor), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, **how) -> DataFrame:
@@ -209,7 +241,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, **how) -
     joined = components(links(docs, rows, width, percent, **how))
     named = rows.drop("sketch").join(joined, "node", "left")
     alone = F.struct(F.lit(False).alias("set"), F.coalesce("doc_id", F.lit(-1)).cast("string").alias("id"))
-    in_set = F.struct(F.lit(True).alias("set"), F.coalesce("root", "node").alias("id"))
+    in_set = F.struct(F.lit(True).alias("set"), F.coalesce("root", "node").cast("string").alias("id"))
     named = staged(named.withColumn("_c", F.when(F.col("n_shingles") == 0, alone).otherwise(in_set)).drop("node", "root"), "named")
     least = staged(named.groupBy("_c").agg(F.min("doc_id").alias("component_id")), "least")
     out = named.join(least, "_c").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
