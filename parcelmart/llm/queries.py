@@ -9,16 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelmart.llm.decontaminate import leaks
+from parcelmart.llm.graph_search import neighbours
+from parcelmart.llm.html_text import extract
 from parcelmart.llm.line_dedup import dedup_lines
 from parcelmart.llm.near_dup import near_duplicates
 from parcelmart.llm.packing import pack
+from parcelmart.llm.personal_data import find
 from parcelmart.llm.quality import classify
+from parcelmart.llm.suffix_dedup import remove_repeats
+from parcelmart.llm.toxicity import score
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -27,6 +36,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = _table(spark, sf_dir, "labels").where("quality = 1")
     rows = classify(_table(spark, sf_dir, "documents"), trusted)
@@ -42,12 +59,25 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find(_table(spark, sf_dir, "documents")).drop("_t1", "_t2")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_neighbours": op1_neighbours,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_html_text": op5_html_text,
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_personal_data": op9_personal_data,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {
