@@ -112,9 +112,11 @@ def _anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
             bucket = ((anchor >> _U64(32)) % _U64(buckets)).astype(np.int64)
             code = (bucket.astype(_U64) << _U64(32)) | (anchor & _U64(0xFFFFFFFF))
             out = []
-            by = np.argsort(doc[several], kind="stable")
-            for d, part in _split(doc[several][by]):
-                out.append(_row(bucket=d % buckets, doc_id=d, own=code[several][by][part].tobytes()))
+            by = np.flatnonzero(several)
+            by = by[np.argsort(doc[by], kind="stable")]
+            told = code[by]
+            for d, part in _split(doc[by]):
+                out.append(_row(bucket=d % buckets, doc_id=d, own=told[part].tobytes()))
             ask = np.flatnonzero(head)
             ask = ask[np.argsort(bucket[ask], kind="stable")]
             packed = _packed_ids(ids)
@@ -142,9 +144,10 @@ def _shared(table: pa.Table) -> pa.Table:
         code = (_U64(table.column("bucket")[0].as_py()) << _U64(32)) | key[here].astype(_U64)
         doc = doc[here]
         by = np.argsort(doc, kind="stable")
-        for d, part in _split(doc[by]):
+        doc, code = doc[by], code[by]
+        for d, part in _split(doc):
             docs.append(d)
-            codes.append(code[by][part].tobytes())
+            codes.append(code[part].tobytes())
     return pa.table({"doc_id": pa.array(docs, pa.int64()), "codes": pa.array(codes, pa.binary())})
 
 
@@ -155,7 +158,7 @@ def _texts(batches: Iterator[pa.RecordBatch], buckets: int, finer: int) -> Itera
             data, at = H.flat(batch.column("text"))
             anchor, row, start, end = _runs(data, at)
             code = ((anchor >> _U64(32)) % _U64(buckets) << _U64(32)) | (anchor & _U64(0xFFFFFFFF))
-            told = [np.frombuffer(b"".join(x), _U64) for x in batch.column("codes").to_pylist()]
+            told = [np.frombuffer(b"".join(x or ()), _U64) for x in batch.column("codes").to_pylist()]
             salt = H.mix(np.arange(batch.num_rows).astype(_U64) + _U64(1))
             wanted = np.concatenate([H.mix(t ^ s) for t, s in zip(told, salt, strict=True)] or [np.zeros(0, _U64)])
             pick = np.isin(H.mix(code ^ salt[row]), wanted)
@@ -277,7 +280,9 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = 16 << 20) -> DataFrame:
     Null text is empty. Rows that repeat a doc_id never match each other, and each loses what either of them loses at its
     place only if their texts agree: repeated ids with different texts are not supported. Rows without doc_id match nothing.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # a cast that does nothing would keep the two joins from sharing the documents' exchange
+    doc_id = F.col("doc_id") if docs.schema["doc_id"].dataType.simpleString() == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    rows = docs.select(doc_id, F.coalesce("text", F.lit("")).alias("text"))
     named = rows.where("doc_id is not null")
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, size // bucket_bytes)
@@ -285,7 +290,8 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = 16 << 20) -> DataFrame:
     asked = named.mapInArrow(lambda it: _anchors(it, buckets), _SENT)
     told = asked.groupBy("bucket").applyInArrow(_shared, "doc_id long, codes binary")
     told = told.groupBy("doc_id").agg(F.collect_list("codes").alias("codes"))
-    texts = named.join(told, "doc_id").mapInArrow(lambda it: _texts(it, buckets, finer), _SENT)
+    told = named.join(told, "doc_id", "left").select("doc_id", "text", "codes")
+    texts = told.mapInArrow(lambda it: _texts(it, buckets, finer), _SENT)
     spans = texts.groupBy("bucket").applyInArrow(_spans, "doc_id long, spans binary")
     spans = spans.groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
     joined = named.join(spans, "doc_id", "left").select("doc_id", "text", "spans")
