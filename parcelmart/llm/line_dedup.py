@@ -28,6 +28,7 @@ def windows(docs: DataFrame, min_words: int = 5) -> DataFrame:
     words = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
     lines = lines.where(line != "").select(*_KEY, "i", F.xxhash64(line).alias("h"), words.alias("n"))
     upto = Window.partitionBy(*_KEY).orderBy("i")
+    lines = lines.withColumn("above", F.lag("i").over(upto)).where("above is null or above != i")  # repeated rows count once
     lines = lines.withColumn("before", F.sum("n").over(upto) - F.col("n"))
     on = Window.partitionBy(*_KEY).orderBy("before").rangeBetween(0, min_words - 1)
     low = F.min(F.struct("h", "i")).over(on)
