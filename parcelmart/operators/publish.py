@@ -4,14 +4,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """Shared folder the cluster names for intermediate data, if it names one."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate data that driver and executors share, from ``spark.checkpoint.dir``.
+
+    A local session without the setting gets a folder of its own; a cluster without it is an error, as no folder of one
+    machine would do there.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="parcelmart-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def publish(
@@ -22,46 +31,41 @@ def publish(
     partition_by: tuple[str, ...] = (),
     distinct: bool = True,
 ) -> DataFrame:
-    """Full refresh of ``target``: compute into a fresh staging folder, then replace the target.
+    """Full refresh of ``target``: one write into a new folder beside it, then a switch of names.
 
-    The whole plan runs into the staging folder, so a failed run leaves the target as it was; the
-    second write only copies finished files. Staging lies in the shared folder of the session
-    (``spark.checkpoint.dir``) or beside the target, in a folder of its own per run, and stays
-    there for recovery until the cluster's own retention removes it. The result is read back from
-    the target, so whatever is built on it starts from files and not from this plan.
+    A run that fails at any point before the switch leaves the target as it was. The switch moves the old folder aside, moves
+    the new one in and removes the old one; if moving in fails, the old folder is moved back. ``staging`` must lie in the file
+    system of the target. The result is read back, so whatever is built on it starts from files and not from this plan.
     """
     spark = df.sparkSession
-    if staging is None:
-        folder = shared_folder(spark)
-        name = f"{target.rstrip('/').rsplit('/', 1)[-1]}-{uuid.uuid4().hex}"
-        staging = f"{folder.rstrip('/')}/{name}" if folder else f"{target.rstrip('/')}_staging/{name}"
+    base, run = target.rstrip("/"), uuid.uuid4().hex
+    staging = staging or f"{base}_staging-{run}"
     rows = df.distinct() if distinct else df
-    rows.write.format(fmt).save(staging)
-    writer = spark.read.schema(rows.schema).format(fmt).load(staging).write.format(fmt).mode("overwrite")
+    writer = rows.write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(target)
-    return spark.read.schema(rows.schema).format(fmt).load(target).select(*rows.columns)
+    writer.save(staging)
+    _switch(spark, staging, base, f"{base}_old-{run}")
+    return spark.read.schema(rows.schema).format(fmt).load(base).select(*rows.columns)
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="parcelmart-")
+def _switch(spark: SparkSession, new: str, target: str, aside: str) -> None:
+    jvm = spark.sparkContext._jvm
+    new_path, path, old_path = (jvm.org.apache.hadoop.fs.Path(x) for x in (new, target, aside))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = files.exists(path)
+    if had and not files.rename(path, old_path):
+        raise OSError(f"cannot move {target} aside")
+    if not files.rename(new_path, path):
+        if had:
+            files.rename(old_path, path)
+        raise OSError(f"cannot move {new} to {target}")
+    if had:
+        files.delete(old_path, True)
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back, which cuts its lineage.
-
-    Columnar files keep column pruning for what reads them. Without a shared folder the plan stays
-    as it is on a cluster, as no machine-local folder would survive a lost executor there; a local
-    session gets a temporary folder.
-    """
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            return df
-        folder = _local_folder()
-    path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    """``df`` written to the shared folder and read back, which cuts its lineage; columnar files keep column pruning."""
+    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -186,7 +186,7 @@ def seller_maturity(t: Tables) -> DataFrame:
 
 def undelivered_reasons(t: Tables) -> DataFrame:
     failed = t["ds_sqls_delivery_task"].filter(F.col("state") == "COMPLETE_REATTEMPT")
-    return gather(failed, ["shipment_id"], "comments", "rvp_undel_reason").drop("part")
+    return gather(failed, ["shipment_id"], "comments", "rvp_undel_reason")
 
 
 def order_states(t: Tables) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from parcelmart.functions.text import json_text
 from parcelmart.functions.times import IST_MS, ISO_DAY, ist_format, ms_of, ntz_ms
-from parcelmart.operators.collect import gather
+from parcelmart.operators.collect import counted, gather
 from parcelmart.operators.timeline import attempts, first_last, state_timeline
 from parcelmart.supplied.registry import query
 
@@ -74,19 +74,19 @@ def amount_by_flag(t):
 
 
 @query("""
-SELECT user_id, 0 AS part, count(*) AS n, array_to_string(list_sort(list(event_type)), '|') AS types
+SELECT user_id, count(*) AS n, array_to_string(list_sort(list(event_type)), '|') AS types
 FROM events GROUP BY user_id
 """)
 def collect_types(t):
     """All states of a user, sorted, with repeats; shown as text at the end."""
     found = gather(t.events, ["user_id"], "event_type", "types")
     return found.select(
-        "user_id", "part", F.size("types").cast("bigint").alias("n"), F.array_join("types", "|").alias("types")
+        "user_id", F.size("types").cast("bigint").alias("n"), F.array_join("types", "|").alias("types")
     )
 
 
 @query("""
-SELECT user_id, 0 AS part, array_to_string(list_sort(list(DISTINCT event_type)), '|') AS types
+SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), '|') AS types
 FROM events GROUP BY user_id
 """)
 def collect_set_types(t):
@@ -95,7 +95,15 @@ def collect_set_types(t):
 
 
 @query("""
-SELECT l_orderkey, 0 AS part, array_to_string(list_sort(list(concat(l_returnflag, l_linestatus))), ',') AS tags
+SELECT user_id, event_type AS value, count(*) AS n FROM events GROUP BY user_id, event_type
+""")
+def counted_types(t):
+    """The long form of gathered values."""
+    return counted(t.events, ["user_id"], "event_type")
+
+
+@query("""
+SELECT l_orderkey, array_to_string(list_sort(list(concat(l_returnflag, l_linestatus))), ',') AS tags
 FROM lineitem GROUP BY l_orderkey
 """)
 def joined_tags(t):

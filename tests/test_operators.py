@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests.conftest import ist, values
 
-from parcelmart.operators.collect import gather
+from parcelmart.operators.collect import counted, gather
 from parcelmart.operators.ids import explode_ids
 from parcelmart.operators.lookup import INNER, enrich
 from parcelmart.operators.rows import current_rows, latest, since
@@ -91,28 +91,32 @@ def test_attempts(spark):
 def test_gather_forms(spark):
     df = log(spark).withColumn("n", F.lit(2).cast("bigint")).dropna(subset=["id"])
     df = df.unionByName(spark.createDataFrame([("c", "Z", 1, None, 2)], df.schema))
-    assert values(gather(df, ["id"], "note", "v"), "id", "part", "v") == [("a", 0, ["p", "q"]), ("b", 0, ["r", "s"]), ("c", 0, [])]
+    assert values(gather(df, ["id"], "note", "v"), "id", "v") == [("a", ["p", "q"]), ("b", ["r", "s"]), ("c", [])]
     assert values(gather(df, ["id"], "state", "v", how="set"), "v") == [["X", "Y"], ["Y"], ["Z"]]
     assert values(gather(df, ["id"], "note", "v", how="text"), "v") == ["", "p,q", "r,s"]
     assert values(gather(df, ["id"], "state", "v", times="n"), "v") == [["X", "X", "X", "X", "Y", "Y"], ["Y"] * 4, ["Z", "Z"]]
 
 
-def test_gather_splits_hot_keys_and_loses_nothing(spark):
+def test_gather_gives_one_row_per_key_and_loses_nothing(spark):
     rnd = random.Random(7)
     rows = [("hot", f"v{rnd.randrange(40)}") for _ in range(3000)] + [("hot", "same")] * 2500 + [("cold", "x"), ("cold", None), ("hot", None)]
     df = spark.createDataFrame(rows, "k string, v string")
-    got = gather(df, ["k"], "v", "v", cell_values=1000).collect()
-    found = defaultdict(Counter)
-    for r in got:
-        found[r.k].update(r.v)
-        assert len(r.v) < 2000 and r.v == sorted(r.v)
     expected = defaultdict(Counter)
     for k, v in rows:
         expected[k].update([v] if v else [])
-    assert found == expected
-    parts = sorted(r.part for r in got if r.k == "hot")
-    assert len(parts) == len(set(parts)) and len(parts) > 1
-    assert [r.part for r in got if r.k == "cold"] == [0]
+    got = gather(df, ["k"], "v", "v").collect()
+    assert len(got) == 2 and all(r.v == sorted(r.v) for r in got)
+    assert {r.k: Counter(r.v) for r in got} == expected
+    long = defaultdict(Counter)
+    for r in counted(df, ["k"], "v").where("value is not null").collect():
+        long[r.k][r.value] = r.n
+    assert long == expected
+
+
+def test_gather_has_no_limit_per_key(spark):
+    df = spark.range(1_200_000).select(F.lit("hot").alias("k"), (F.col("id") % 3).alias("v"))
+    (row,) = gather(df, ["k"], "v", "v").select("k", F.size("v").alias("n")).collect()
+    assert row.n == 1_200_000
 
 
 def test_enrich(spark):
