@@ -19,11 +19,11 @@ all their bytes and of the anchor; in suffix order the bytes themselves are comp
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,12 +86,15 @@ def _split(keys: np.ndarray) -> Iterator[tuple[int, slice]]:
             yield int(keys[a]), slice(a, b)
 
 
-def _packed_ids(ids: np.ndarray) -> bytes:
-    return zlib.compress(np.diff(ids, prepend=0).tobytes(), 1)
+def _pack(x: np.ndarray, rising: bool = False) -> bytes:
+    """Compressed; of rising numbers the steps."""
+    x = np.diff(x, prepend=x.dtype.type(0)) if rising else x
+    return zstandard.ZstdCompressor(level=3).compress(x.tobytes())
 
 
-def _ids(packed: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zlib.decompress(packed), np.int64))
+def _unpack(x: bytes, kind, rising: bool = False) -> np.ndarray:
+    x = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind)
+    return np.cumsum(x, dtype=kind) if rising else x
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -118,12 +121,12 @@ def _anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
             for d, part in _split(doc[by]):
                 out.append(_row(bucket=d % buckets, doc_id=d, own=told[part].tobytes()))
             ask = np.flatnonzero(head)
-            ask = ask[np.argsort(bucket[ask], kind="stable")]
-            packed = _packed_ids(ids)
+            key = (anchor & _U64(0xFFFFFFFF)).astype(np.uint32)
+            ask = ask[np.lexsort((key[ask], bucket[ask]))]
+            packed = _pack(ids, True)
             for b, part in _split(bucket[ask]):
                 k = ask[part]
-                keys, rows = (anchor[k] & _U64(0xFFFFFFFF)).astype(np.uint32), row[k].astype(np.uint32)
-                out.append(_row(bucket=b, keys=keys.tobytes(), rows=rows.tobytes(), ids=packed))
+                out.append(_row(bucket=b, keys=_pack(key[k], True), rows=_pack(row[k].astype(np.uint32)), ids=packed))
             yield _rows(out)
 
 
@@ -135,8 +138,8 @@ def _shared(table: pa.Table) -> pa.Table:
             docs.append(r["doc_id"])
             codes.append(r["own"])
         else:
-            keys.append(np.frombuffer(r["keys"], np.uint32))
-            owners.append(_ids(r["ids"])[np.frombuffer(r["rows"], np.uint32)])
+            keys.append(_unpack(r["keys"], np.uint32, True))
+            owners.append(_unpack(r["ids"], np.int64, True)[_unpack(r["rows"], np.uint32)])
     if keys:
         key, doc = np.concatenate(keys), np.concatenate(owners)
         _, which, n = np.unique(key, return_inverse=True, return_counts=True)
@@ -180,13 +183,11 @@ def _texts(batches: Iterator[pa.RecordBatch], buckets: int, finer: int) -> Itera
                 out.append(_row(bucket=d % finer, doc_id=d, own=np.stack([pos[k], pos[k] + size[k]], 1).tobytes()))
             bucket = (H.mix(anchor) % _U64(finer)).astype(np.int64)
             ask = ask[np.argsort(bucket[ask], kind="stable")]
-            packed = _packed_ids(ids)
+            packed = _pack(ids, True)
             for b, part in _split(bucket[ask]):
                 k = ask[part]
-                out.append(
-                    _row(bucket=b, keys=anchor[k].tobytes(), rows=row[k].astype(np.uint32).tobytes(), ids=packed, at=pos[k].tobytes(),
-                         sizes=size[k].tobytes(), text=_gather(data, start[k], size[k]).tobytes())
-                )
+                key, rows, where, sizes = (_pack(x[k].astype(np.uint32)) for x in (anchor & _U64(0xFFFFFFFF), row, pos, size))
+                out.append(_row(bucket=b, keys=key, rows=rows, ids=packed, at=where, sizes=sizes, text=_pack(_gather(data, start[k], size[k]))))
             yield _rows(out)
 
 
@@ -222,9 +223,9 @@ def _spans(table: pa.Table) -> pa.Table:
             docs.append(r["doc_id"])
             spans.append(r["own"])
         else:
-            owner = _ids(r["ids"])[np.frombuffer(r["rows"], np.uint32)]
-            fixed = [np.frombuffer(r[c], t) for c, t in (("keys", _U64), ("at", np.int64), ("sizes", np.int64))]
-            parts.append((*fixed, owner, np.frombuffer(r["text"], np.uint8)))
+            owner = _unpack(r["ids"], np.int64, True)[_unpack(r["rows"], np.uint32)]
+            key, pos, size = (_unpack(r[c], np.uint32) for c in ("keys", "at", "sizes"))
+            parts.append((key.astype(_U64), pos.astype(np.int64), size.astype(np.int64), owner, _unpack(r["text"], np.uint8)))
     if parts:
         key, pos, size, doc, text = (np.concatenate(x) for x in zip(*parts, strict=True))
         begin = np.cumsum(size) - size
