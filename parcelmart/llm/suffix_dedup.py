@@ -130,13 +130,14 @@ def _anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
             yield _rows(out)
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Of one bucket, per document the anchors that several documents have."""
+def _shared(table: pa.Table, groups: int) -> pa.Table:
+    """Of one bucket, the (document, anchor) pairs of anchors that several documents have; a row per group of documents."""
     docs, codes, keys, owners = [], [], [], []
     for r in table.to_pylist():
         if r["own"] is not None:
-            docs.append(r["doc_id"])
-            codes.append(r["own"])
+            code = np.frombuffer(r["own"], _U64)
+            docs.append(np.full(len(code), r["doc_id"], np.int64))
+            codes.append(code)
         else:
             keys.append(_unpack(r["keys"], np.uint32, True))
             owners.append(_unpack(r["ids"], np.int64, True)[_unpack(r["rows"], np.uint32)])
@@ -144,14 +145,25 @@ def _shared(table: pa.Table) -> pa.Table:
         key, doc = np.concatenate(keys), np.concatenate(owners)
         _, which, n = np.unique(key, return_inverse=True, return_counts=True)
         here = n[which] > 1
-        code = (_U64(table.column("bucket")[0].as_py()) << _U64(32)) | key[here].astype(_U64)
-        doc = doc[here]
-        by = np.argsort(doc, kind="stable")
-        doc, code = doc[by], code[by]
-        for d, part in _split(doc):
-            docs.append(d)
-            codes.append(code[part].tobytes())
-    return pa.table({"doc_id": pa.array(docs, pa.int64()), "codes": pa.array(codes, pa.binary())})
+        docs.append(doc[here])
+        codes.append((_U64(table.column("bucket")[0].as_py()) << _U64(32)) | key[here].astype(_U64))
+    doc, code = np.concatenate(docs), np.concatenate(codes)
+    group = (H.mix(doc.astype(_U64)) % _U64(groups)).astype(np.int64)
+    order = np.lexsort((code, doc, group))
+    doc, code, group = doc[order], code[order], group[order]
+    rows = [(g, _pack(doc[part], True), _pack(code[part])) for g, part in _split(group)]
+    cols = list(zip(*rows, strict=True)) or [[]] * 3
+    return pa.table([pa.array(list(c), k) for c, k in zip(cols, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["group", "docs", "codes"])
+
+
+def _told(table: pa.Table) -> pa.Table:
+    """Of one group of documents, per document its shared anchors."""
+    doc = np.concatenate([_unpack(x, np.int64, True) for x in table.column("docs").to_pylist()])
+    code = np.concatenate([_unpack(x, _U64) for x in table.column("codes").to_pylist()])
+    order = np.lexsort((code, doc))
+    doc, code = doc[order], code[order]
+    rows = [(d, _pack(code[part], True)) for d, part in _split(doc)]
+    return pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "codes": pa.array([r[1] for r in rows], pa.binary())})
 
 
 def _texts(batches: Iterator[pa.RecordBatch], buckets: int, finer: int) -> Iterator[pa.RecordBatch]:
@@ -161,7 +173,7 @@ def _texts(batches: Iterator[pa.RecordBatch], buckets: int, finer: int) -> Itera
             data, at = H.flat(batch.column("text"))
             anchor, row, start, end = _runs(data, at)
             code = ((anchor >> _U64(32)) % _U64(buckets) << _U64(32)) | (anchor & _U64(0xFFFFFFFF))
-            told = [np.frombuffer(b"".join(x or ()), _U64) for x in batch.column("codes").to_pylist()]
+            told = [_unpack(x, _U64, True) if x else np.zeros(0, _U64) for x in batch.column("codes").to_pylist()]
             salt = H.mix(np.arange(batch.num_rows).astype(_U64) + _U64(1))
             wanted = np.concatenate([H.mix(t ^ s) for t, s in zip(told, salt, strict=True)] or [np.zeros(0, _U64)])
             pick = np.isin(H.mix(code ^ salt[row]), wanted)
@@ -289,8 +301,8 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = 16 << 20) -> DataFrame:
     buckets = max(1, size // bucket_bytes)
     finer = buckets * 4
     asked = named.mapInArrow(lambda it: _anchors(it, buckets), _SENT)
-    told = asked.groupBy("bucket").applyInArrow(_shared, "doc_id long, codes binary")
-    told = told.groupBy("doc_id").agg(F.collect_list("codes").alias("codes"))
+    shared = asked.groupBy("bucket").applyInArrow(lambda t: _shared(t, buckets), "group int, docs binary, codes binary")
+    told = shared.groupBy("group").applyInArrow(_told, "doc_id long, codes binary")
     told = named.join(told, "doc_id", "left").select("doc_id", "text", "codes")
     texts = told.mapInArrow(lambda it: _texts(it, buckets, finer), _SENT)
     spans = texts.groupBy("bucket").applyInArrow(_spans, "doc_id long, spans binary")
