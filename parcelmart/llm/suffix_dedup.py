@@ -11,7 +11,7 @@ one anchor are one run, kept as one stretch of text.
   2. Runs with such an anchor send their text. Equal runs keep the smallest document only, before the shuffle and after it:
      the others are removed whole. So neither a common passage nor a group of copies meets in one task.
   3. What is left in a bucket is put in suffix order, and previous factors are removed.
-  4. The spans go back to their documents.
+  4. The spans go back to their documents, by groups of documents.
 Documents are shuffled by doc_id once; both joins with them use that one exchange. Runs count as equal by 64-bit hashes of
 all their bytes and of the anchor; in suffix order the bytes themselves are compared.
 """
@@ -227,13 +227,26 @@ def previous_factors(text: np.ndarray, begin: np.ndarray, size: np.ndarray, doc:
     return which[hit], offset[hit]
 
 
-def _spans(table: pa.Table) -> pa.Table:
-    """Of one bucket, per document the spans that begin in a smaller one."""
-    docs, spans, parts = [], [], []
+def _united(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans by document and start, with those of a document that touch or overlap made one."""
+    if not len(doc):
+        return doc, lo, hi
+    by = np.lexsort((lo, doc))
+    doc, lo, hi = doc[by], lo[by], hi[by]
+    base = np.cumsum(np.append(0, doc[1:] != doc[:-1])).astype(np.int64) << 32  # no text is as long
+    reach = np.maximum.accumulate(base + hi)
+    start = np.flatnonzero(np.append(True, (base + lo)[1:] > reach[:-1]))
+    return doc[start], lo[start], reach[np.append(start[1:], len(doc)) - 1] - base[start]
+
+
+def _spans(table: pa.Table, groups: int) -> pa.Table:
+    """Of one bucket, the spans that begin in a smaller document; a row per group of documents."""
+    docs, spans, parts = [np.zeros(0, np.int64)], [np.zeros((0, 2), np.int64)], []
     for r in table.to_pylist():
         if r["own"] is not None:
-            docs.append(r["doc_id"])
-            spans.append(r["own"])
+            pairs = np.frombuffer(r["own"], np.int64).reshape(-1, 2)
+            docs.append(np.full(len(pairs), r["doc_id"], np.int64))
+            spans.append(pairs)
         else:
             owner = _unpack(r["ids"], np.int64, True)[_unpack(r["rows"], np.uint32)]
             key, pos, size = (_unpack(r[c], np.uint32) for c in ("keys", "at", "sizes"))
@@ -252,17 +265,26 @@ def _spans(table: pa.Table) -> pa.Table:
         _, which, n = np.unique(key[one], return_inverse=True, return_counts=True)
         one = one[n[which] > 1]  # an anchor with one run only is settled
         found, offset = previous_factors(text, begin[one], size[one], doc[one])
-        d = np.concatenate([doc[whole], doc[one][found]])
-        lo = np.concatenate([pos[whole], pos[one][found] + offset])
-        hi = np.concatenate([pos[whole] + size[whole], pos[one][found] + offset + LENGTH])
-        by = np.lexsort((lo, d))
-        d, lo, hi = d[by], lo[by], hi[by]
-        for x, part in _split(d):
-            a, b = lo[part], np.maximum.accumulate(hi[part])
-            cut = np.flatnonzero(np.append(True, a[1:] > b[:-1]))
-            docs.append(x)
-            spans.append(np.stack([a[cut], b[np.append(cut[1:], len(a)) - 1]], 1).tobytes())
-    return pa.table({"doc_id": pa.array(docs, pa.int64()), "spans": pa.array(spans, pa.binary())})
+        docs += [doc[whole], doc[one][found]]
+        lo, at = pos[whole], pos[one][found] + offset
+        spans += [np.stack([lo, lo + size[whole]], 1), np.stack([at, at + LENGTH], 1)]
+    pairs = np.concatenate(spans)
+    doc, lo, hi = _united(np.concatenate(docs), pairs[:, 0], pairs[:, 1])
+    group = (H.mix(doc.astype(_U64)) % _U64(groups)).astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    doc, lo, hi, group = doc[order], lo[order], hi[order], group[order]
+    rows = [(g, _pack(doc[part], True), _pack(lo[part].astype(np.uint32)), _pack((hi - lo)[part].astype(np.uint32))) for g, part in _split(group)]
+    cols = list(zip(*rows, strict=True)) or [[]] * 4
+    return pa.table([pa.array(list(c), k) for c, k in zip(cols, (pa.int32(), *[pa.binary()] * 3), strict=True)], ["group", "docs", "at", "sizes"])
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """Of one group of documents, per document its spans."""
+    doc = np.concatenate([_unpack(x, np.int64, True) for x in table.column("docs").to_pylist()])
+    lo, size = (np.concatenate([_unpack(x, np.uint32) for x in table.column(c).to_pylist()]).astype(np.int64) for c in ("at", "sizes"))
+    doc, lo, hi = _united(doc, lo, lo + size)
+    rows = [(d, np.stack([lo[part], hi[part]], 1).tobytes()) for d, part in _split(doc)]
+    return pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "spans": pa.array([r[1] for r in rows], pa.binary())})
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +295,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r, spans in enumerate(batch.column("spans").to_pylist()):
                 own = data[at[r] : at[r + 1]]
                 step = np.zeros(len(own) + 1, np.int64)
-                pairs = np.frombuffer(b"".join(spans or ()), np.int64).reshape(-1, 2)
+                pairs = np.frombuffer(spans or b"", np.int64).reshape(-1, 2)
                 np.add.at(step, pairs[:, 0], 1)
                 np.add.at(step, pairs[:, 1], -1)
                 gone = np.cumsum(step[:-1]) > 0
@@ -305,9 +327,9 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = 16 << 20) -> DataFrame:
     told = shared.groupBy("group").applyInArrow(_told, "doc_id long, codes binary")
     told = named.join(told, "doc_id", "left").select("doc_id", "text", "codes")
     texts = told.mapInArrow(lambda it: _texts(it, buckets, finer), _SENT)
-    spans = texts.groupBy("bucket").applyInArrow(_spans, "doc_id long, spans binary")
-    spans = spans.groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
+    spans = texts.groupBy("bucket").applyInArrow(lambda t: _spans(t, buckets), "group int, docs binary, at binary, sizes binary")
+    spans = spans.groupBy("group").applyInArrow(_gathered, "doc_id long, spans binary")
     joined = named.join(spans, "doc_id", "left").select("doc_id", "text", "spans")
-    free = rows.where("doc_id is null").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("spans"))
+    free = rows.where("doc_id is null").select("doc_id", "text", F.lit(None).cast("binary").alias("spans"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     return joined.unionByName(free).mapInArrow(_kept, schema)
