@@ -8,8 +8,8 @@ The order over all suffixes of a corpus is never needed. Each string has an anch
 24 bytes; equal strings have equal anchors, so suffixes are ordered bucket by bucket of anchors. Neighbouring strings with
 one anchor are one run, kept as one stretch of text.
   1. Anchors of all documents, once per piece of input, meet in buckets; those of two or more documents go back.
-  2. Runs with such an anchor send their text. Equal runs keep the smallest document only, before the shuffle and after it:
-     the others are removed whole. So neither a common passage nor a group of copies meets in one task.
+  2. Runs with such an anchor send their text, once, and all places the smallest document has it at. Equal runs keep the
+     smallest document only, before the shuffle and after it: the others are removed whole. So neither a common passage nor a group of copies meets in one task.
   3. What is left in a bucket is put in suffix order, and previous factors are removed.
   4. The spans go back to their documents, by groups of documents.
 Documents are shuffled by doc_id once; both joins with them use that one exchange. Runs count as equal by 64-bit hashes of
@@ -31,7 +31,7 @@ from parcelmart.llm import bytehash as H
 
 ANCHOR = 24
 LENGTH = 50
-_SENT = "bucket int, doc_id long, own binary, keys binary, rows binary, ids binary, at binary, sizes binary, text binary"
+_SENT = "bucket int, doc_id long, own binary, keys binary, rows binary, ids binary, at binary, times binary, sizes binary, text binary"
 _NAMES = [x.split()[0] for x in _SENT.split(", ")]
 _U64 = np.uint64
 
@@ -68,13 +68,25 @@ def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
     return data[np.repeat(start - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)]
 
 
+def _least(doc: np.ndarray, *marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of things with equal marks: those of larger documents, all those of the smallest one by mark, and how many each mark has."""
+    order = np.lexsort((doc, *marks))
+    head = np.zeros(len(order), bool)
+    head[:1] = True
+    for mark in marks:
+        head[1:] |= mark[order][1:] != mark[order][:-1]
+    least = np.repeat(doc[order][head], np.diff(np.append(np.flatnonzero(head), len(order))))
+    more = doc[order] > least
+    return order[more], order[~more], np.bincount(np.cumsum(head)[~more] - 1, minlength=int(head.sum()))
+
+
 def _row(**x) -> tuple:
     return tuple(x.get(c) for c in _NAMES)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 7
-    cols = list(zip(*rows, strict=True)) or [[]] * 9
+    kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 8
+    cols = list(zip(*rows, strict=True)) or [[]] * 10
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], _NAMES)
 
 
@@ -182,24 +194,25 @@ def _texts(batches: Iterator[pa.RecordBatch], buckets: int, finer: int) -> Itera
             doc, size = ids[row], end - start + LENGTH - 1
             p = H.prefix(data, H.BYTE)
             mark = H.mix((p[start + size] - p[start]) * H.powers(len(data) + 1)[1][start]) ^ H.mix(anchor) ^ size.astype(_U64)
-            order = np.lexsort((doc, mark))
-            head = np.ones(len(order), bool)
-            head[1:] = mark[order][1:] != mark[order][:-1]
-            least = np.repeat(doc[order][head], np.diff(np.append(np.flatnonzero(head), len(order))))
-            settled, ask = order[doc[order] > least], order[head]
+            settled, held, times = _least(doc, mark)
+            first = np.cumsum(times) - times
             pos = start - at[:-1][row]
             out = []
             settled = settled[np.argsort(doc[settled], kind="stable")]
             for d, part in _split(doc[settled]):
                 k = settled[part]
                 out.append(_row(bucket=d % finer, doc_id=d, own=np.stack([pos[k], pos[k] + size[k]], 1).tobytes()))
-            bucket = (H.mix(anchor) % _U64(finer)).astype(np.int64)
-            ask = ask[np.argsort(bucket[ask], kind="stable")]
+            bucket = (H.mix(anchor[held[first]]) % _U64(finer)).astype(np.int64)
+            ask = np.argsort(bucket, kind="stable")
             packed = _pack(ids, True)
             for b, part in _split(bucket[ask]):
-                k = ask[part]
-                key, rows, where, sizes = (_pack(x[k].astype(np.uint32)) for x in (anchor & _U64(0xFFFFFFFF), row, pos, size))
-                out.append(_row(bucket=b, keys=key, rows=rows, ids=packed, at=where, sizes=sizes, text=_pack(_gather(data, start[k], size[k]))))
+                one = ask[part]
+                k = held[first[one]]
+                key, rows, sizes = (_pack(x[k].astype(np.uint32)) for x in (anchor & _U64(0xFFFFFFFF), row, size))
+                where = _pack(pos[_gather(held, first[one], times[one])].astype(np.uint32))
+                n = _pack(times[one].astype(np.uint32))
+                text = _pack(_gather(data, start[k], size[k]))
+                out.append(_row(bucket=b, keys=key, rows=rows, ids=packed, at=where, times=n, sizes=sizes, text=text))
             yield _rows(out)
 
 
@@ -249,25 +262,29 @@ def _spans(table: pa.Table, groups: int) -> pa.Table:
             spans.append(pairs)
         else:
             owner = _unpack(r["ids"], np.int64, True)[_unpack(r["rows"], np.uint32)]
-            key, pos, size = (_unpack(r[c], np.uint32) for c in ("keys", "at", "sizes"))
-            parts.append((key.astype(_U64), pos.astype(np.int64), size.astype(np.int64), owner, _unpack(r["text"], np.uint8)))
+            key, pos, times, size = (_unpack(r[c], np.uint32) for c in ("keys", "at", "times", "sizes"))
+            text = _unpack(r["text"], np.uint8)
+            parts.append((key.astype(_U64), pos.astype(np.int64), times.astype(np.int64), size.astype(np.int64), owner, text))
     if parts:
-        key, pos, size, doc, text = (np.concatenate(x) for x in zip(*parts, strict=True))
-        begin = np.cumsum(size) - size
+        key, pos, times, size, doc, text = (np.concatenate(x) for x in zip(*parts, strict=True))
+        begin, place = np.cumsum(size) - size, np.cumsum(times) - times
         p = H.prefix(text, H.BYTE)
         mark = H.mix((p[begin + size] - p[begin]) * H.powers(len(text) + 1)[1][begin]) ^ H.mix(key) ^ size.astype(_U64)
-        order = np.lexsort((doc, mark))
-        head = np.ones(len(order), bool)
-        head[1:] = mark[order][1:] != mark[order][:-1]
-        least = np.repeat(doc[order][head], np.diff(np.append(np.flatnonzero(head), len(order))))
-        whole = order[doc[order] > least]
-        one = order[head]
-        _, which, n = np.unique(key[one], return_inverse=True, return_counts=True)
-        one = one[n[which] > 1]  # an anchor with one run only is settled
-        found, offset = previous_factors(text, begin[one], size[one], doc[one])
-        docs += [doc[whole], doc[one][found]]
-        lo, at = pos[whole], pos[one][found] + offset
-        spans += [np.stack([lo, lo + size[whole]], 1), np.stack([at, at + LENGTH], 1)]
+        whole, held, same = _least(doc, mark)
+        first = np.cumsum(same) - same
+        lo = _gather(pos, place[whole], times[whole])
+        docs.append(np.repeat(doc[whole], times[whole]))
+        spans.append(np.stack([lo, lo + np.repeat(size[whole], times[whole])], 1))
+        pos, n = _gather(pos, place[held], times[held]), np.add.reduceat(times[held], first)  # places by mark
+        place = np.cumsum(n) - n
+        one = held[first]
+        _, which, runs = np.unique(key[one], return_inverse=True, return_counts=True)
+        asked = np.flatnonzero(runs[which] > 1)  # an anchor with one run only is settled
+        found, offset = previous_factors(text, begin[one[asked]], size[one[asked]], doc[one[asked]])
+        found = asked[found]
+        lo = _gather(pos, place[found], n[found]) + np.repeat(offset, n[found])
+        docs.append(np.repeat(doc[one[found]], n[found]))
+        spans.append(np.stack([lo, lo + LENGTH], 1))
     pairs = np.concatenate(spans)
     doc, lo, hi = _united(np.concatenate(docs), pairs[:, 0], pairs[:, 1])
     group = (H.mix(doc.astype(_U64)) % _U64(groups)).astype(np.int64)

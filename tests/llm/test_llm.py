@@ -106,6 +106,41 @@ def test_suffix_dedup(spark):
     assert remove_repeats(documents(spark, texts).limit(0)).count() == 0
 
 
+def without_repeats(texts):
+    """Per text (bytes, removed bytes, spans, kept) where 50 bytes that also start in an earlier text go."""
+    seen: set[bytes] = set()
+    for text in texts:
+        b = text.encode()
+        new = [b[k : k + 50] for k in range(len(b) - 49)]
+        gone = bytearray(len(b))
+        for k, s in enumerate(new):
+            if s in seen:
+                gone[k : k + 50] = b"\1" * 50
+        seen.update(new)
+        kept = bytes(c for c, g in zip(b, gone, strict=True) if not g)
+        yield len(b), sum(gone), (b"\0" + bytes(gone)).count(b"\0\1"), kept
+
+
+def in_own_batches(spark, texts, **how):
+    """What is left of texts of which each is a batch, so a piece, of its own."""
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1")
+    try:
+        rows = sorted(remove_repeats(documents(spark, texts), bucket_bytes=2000, **how).collect())
+    finally:
+        spark.conf.set(size, before)
+    return [(r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows]
+
+
+def test_suffix_dedup_of_passages_repeated_in_a_document(spark):
+    passage = " ".join(words(60, 5))
+    own = [" ".join(words(30, 300 + k, 5000)) for k in range(12)]
+    texts = [f"{own[0]} {passage} {own[1]}", own[2], *(f"{own[k]} {passage} {own[k + 1]} {passage} {own[k + 2]} {passage}" for k in (3, 6, 8))]
+    texts += [f"{passage[:200]} {own[11]} {passage[:200]} {passage[:200]}"]
+    assert in_own_batches(spark, texts) == list(without_repeats(texts))
+
+
 def test_suffix_dedup_keeps_unnamed_rows(spark):
     text = " ".join(words(60, 3))
     df = spark.createDataFrame([(None, text), (1, text), (2, text)], "doc_id long, text string")
