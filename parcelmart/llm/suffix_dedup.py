@@ -10,10 +10,11 @@ one anchor are one run, kept as one stretch of text.
   1. Anchors of all documents, once per piece of input, meet in buckets; those of two or more documents go back.
   2. Runs with such an anchor send their text, once, and all places the smallest document has it at. Equal runs keep the
      smallest document only, before the shuffle and after it: the others are removed whole. So neither a common passage nor a group of copies meets in one task.
-  3. What is left in a bucket is put in suffix order, and previous factors are removed.
+  3. What is left in a bucket is put in suffix order, and previous factors are removed. Runs of an anchor with more than
+     `hot` runs are dealt out string by string instead, so that no anchor has to fit into one task.
   4. The spans go back to their documents, by groups of documents.
 Documents are shuffled by doc_id once; both joins with them use that one exchange. Runs count as equal by 64-bit hashes of
-all their bytes and of the anchor; in suffix order the bytes themselves are compared.
+all their bytes and of the anchor, strings of hot anchors by 128 bits; in suffix order the bytes themselves are compared.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ LENGTH = 50
 _SENT = "bucket int, doc_id long, own binary, keys binary, rows binary, ids binary, at binary, times binary, sizes binary, text binary"
 _NAMES = [x.split()[0] for x in _SENT.split(", ")]
 _U64 = np.uint64
+_HOT = _U64(1 << 63)  # set in the code of an anchor with many runs; no bucket is as large
+_OTHER = np.random.default_rng(20240118).integers(1, 1 << 63, 256, dtype=np.uint64) * _U64(2) + _U64(1)
 
 
 def _runs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -117,6 +120,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
             doc = ids[row]
             order = np.lexsort((doc, anchor))
             anchor, doc, row = anchor[order], doc[order], row[order]
+            runs = np.diff(np.append(np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])), len(anchor))) if len(anchor) else doc
             new = np.ones(len(anchor), bool)
             new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
             anchor, doc, row = anchor[new], doc[new], row[new]
@@ -134,17 +138,18 @@ def _anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
                 out.append(_row(bucket=d % buckets, doc_id=d, own=told[part].tobytes()))
             ask = np.flatnonzero(head)
             key = (anchor & _U64(0xFFFFFFFF)).astype(np.uint32)
-            ask = ask[np.lexsort((key[ask], bucket[ask]))]
+            by = np.lexsort((key[ask], bucket[ask]))
+            ask, runs = ask[by], runs[by].astype(np.uint32)
             packed = _pack(ids, True)
             for b, part in _split(bucket[ask]):
                 k = ask[part]
-                out.append(_row(bucket=b, keys=_pack(key[k], True), rows=_pack(row[k].astype(np.uint32)), ids=packed))
+                out.append(_row(bucket=b, keys=_pack(key[k], True), rows=_pack(row[k].astype(np.uint32)), ids=packed, times=_pack(runs[part])))
             yield _rows(out)
 
 
-def _shared(table: pa.Table, groups: int) -> pa.Table:
+def _shared(table: pa.Table, groups: int, hot: int) -> pa.Table:
     """Of one bucket, the (document, anchor) pairs of anchors that several documents have; a row per group of documents."""
-    docs, codes, keys, owners = [], [], [], []
+    docs, codes, keys, owners, runs = [], [], [], [], []
     for r in table.to_pylist():
         if r["own"] is not None:
             code = np.frombuffer(r["own"], _U64)
@@ -153,13 +158,17 @@ def _shared(table: pa.Table, groups: int) -> pa.Table:
         else:
             keys.append(_unpack(r["keys"], np.uint32, True))
             owners.append(_unpack(r["ids"], np.int64, True)[_unpack(r["rows"], np.uint32)])
+            runs.append(_unpack(r["times"], np.uint32))
+    bucket, many = _U64(table.column("bucket")[0].as_py()) << _U64(32), np.zeros(0, _U64)
     if keys:
         key, doc = np.concatenate(keys), np.concatenate(owners)
-        _, which, n = np.unique(key, return_inverse=True, return_counts=True)
+        names, which, n = np.unique(key, return_inverse=True, return_counts=True)
+        many = bucket | names[np.bincount(which, weights=np.concatenate(runs)) > hot].astype(_U64)
         here = n[which] > 1
         docs.append(doc[here])
-        codes.append((_U64(table.column("bucket")[0].as_py()) << _U64(32)) | key[here].astype(_U64))
+        codes.append(bucket | key[here].astype(_U64))
     doc, code = np.concatenate(docs), np.concatenate(codes)
+    code = np.where(np.isin(code, many), code | _HOT, code)
     group = (H.mix(doc.astype(_U64)) % _U64(groups)).astype(np.int64)
     order = np.lexsort((code, doc, group))
     doc, code, group = doc[order], code[order], group[order]
@@ -188,20 +197,30 @@ def _texts(batches: Iterator[pa.RecordBatch], buckets: int, finer: int) -> Itera
             told = [_unpack(x, _U64, True) if x else np.zeros(0, _U64) for x in batch.column("codes").to_pylist()]
             salt = H.mix(np.arange(batch.num_rows).astype(_U64) + _U64(1))
             wanted = np.concatenate([H.mix(t ^ s) for t, s in zip(told, salt, strict=True)] or [np.zeros(0, _U64)])
-            pick = np.isin(H.mix(code ^ salt[row]), wanted)
-            anchor, row, start, end = anchor[pick], row[pick], start[pick], end[pick]
+            hot = np.isin(H.mix(code ^ _HOT ^ salt[row]), wanted)
+            pick = hot | np.isin(H.mix(code ^ salt[row]), wanted)
+            anchor, row, start, end, hot = anchor[pick], row[pick], start[pick], end[pick], hot[pick]
             ids = np.asarray(batch.column("doc_id"), np.int64)
             doc, size = ids[row], end - start + LENGTH - 1
             p = H.prefix(data, H.BYTE)
-            mark = H.mix((p[start + size] - p[start]) * H.powers(len(data) + 1)[1][start]) ^ H.mix(anchor) ^ size.astype(_U64)
+            back = H.powers(len(data) + 1)[1]
+            mark = H.mix((p[start + size] - p[start]) * back[start]) ^ H.mix(anchor) ^ size.astype(_U64)
             settled, held, times = _least(doc, mark)
+            # strings of hot anchors: each by itself
+            dealt, held, times = held[hot[held]], held[~hot[held]], times[~hot[held[np.cumsum(times) - times]]]
             first = np.cumsum(times) - times
             pos = start - at[:-1][row]
+            n = size[dealt] - LENGTH + 1
+            which = np.repeat(dealt, n)
+            skip = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+            s, q = start[which] + skip, H.prefix(data, _OTHER) if len(dealt) else p
+            h1, h2 = (H.mix((x[s + LENGTH] - x[s]) * back[s]) for x in (p, q))
+            later, string, same = _least(doc[which], h1, h2)
             out = []
-            settled = settled[np.argsort(doc[settled], kind="stable")]
-            for d, part in _split(doc[settled]):
-                k = settled[part]
-                out.append(_row(bucket=d % finer, doc_id=d, own=np.stack([pos[k], pos[k] + size[k]], 1).tobytes()))
+            lo = np.concatenate([pos[settled], pos[which[later]] + skip[later]])
+            hi = np.concatenate([pos[settled] + size[settled], pos[which[later]] + skip[later] + LENGTH])
+            for d, part in _split((gone := _united(np.concatenate([doc[settled], doc[which[later]]]), lo, hi))[0]):
+                out.append(_row(bucket=d % finer, doc_id=d, own=np.stack([gone[1][part], gone[2][part]], 1).tobytes()))
             bucket = (H.mix(anchor[held[first]]) % _U64(finer)).astype(np.int64)
             ask = np.argsort(bucket, kind="stable")
             packed = _pack(ids, True)
@@ -213,6 +232,15 @@ def _texts(batches: Iterator[pa.RecordBatch], buckets: int, finer: int) -> Itera
                 n = _pack(times[one].astype(np.uint32))
                 text = _pack(_gather(data, start[k], size[k]))
                 out.append(_row(bucket=b, keys=key, rows=rows, ids=packed, at=where, times=n, sizes=sizes, text=text))
+            first = np.cumsum(same) - same
+            bucket = (h1[string[first]] % _U64(finer)).astype(np.int64)
+            ask = np.argsort(bucket, kind="stable")
+            for b, part in _split(bucket[ask]):
+                one = ask[part]
+                k = string[first[one]]
+                every = _gather(string, first[one], same[one])
+                where, rows, n = (_pack(x.astype(np.uint32)) for x in (pos[which[every]] + skip[every], row[which[k]], same[one]))
+                out.append(_row(bucket=b, keys=_pack(h1[k]), rows=rows, ids=packed, at=where, times=n, sizes=_pack(h2[k])))
             yield _rows(out)
 
 
@@ -254,7 +282,7 @@ def _united(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray
 
 def _spans(table: pa.Table, groups: int) -> pa.Table:
     """Of one bucket, the spans that begin in a smaller document; a row per group of documents."""
-    docs, spans, parts = [np.zeros(0, np.int64)], [np.zeros((0, 2), np.int64)], []
+    docs, spans, parts, dealt = [np.zeros(0, np.int64)], [np.zeros((0, 2), np.int64)], [], []
     for r in table.to_pylist():
         if r["own"] is not None:
             pairs = np.frombuffer(r["own"], np.int64).reshape(-1, 2)
@@ -262,9 +290,18 @@ def _spans(table: pa.Table, groups: int) -> pa.Table:
             spans.append(pairs)
         else:
             owner = _unpack(r["ids"], np.int64, True)[_unpack(r["rows"], np.uint32)]
-            key, pos, times, size = (_unpack(r[c], np.uint32) for c in ("keys", "at", "times", "sizes"))
-            text = _unpack(r["text"], np.uint8)
-            parts.append((key.astype(_U64), pos.astype(np.int64), times.astype(np.int64), size.astype(np.int64), owner, text))
+            pos, times = (_unpack(r[c], np.uint32).astype(np.int64) for c in ("at", "times"))
+            if r["text"] is None:
+                dealt.append((_unpack(r["keys"], _U64), _unpack(r["sizes"], _U64), pos, times, owner))
+                continue
+            key, size = (_unpack(r[c], np.uint32) for c in ("keys", "sizes"))
+            parts.append((key.astype(_U64), pos, times, size.astype(np.int64), owner, _unpack(r["text"], np.uint8)))
+    if dealt:
+        h1, h2, pos, times, doc = (np.concatenate(x) for x in zip(*dealt, strict=True))
+        later = _least(doc, h1, h2)[0]
+        lo = _gather(pos, (np.cumsum(times) - times)[later], times[later])
+        docs.append(np.repeat(doc[later], times[later]))
+        spans.append(np.stack([lo, lo + LENGTH], 1))
     if parts:
         key, pos, times, size, doc, text = (np.concatenate(x) for x in zip(*parts, strict=True))
         begin, place = np.cumsum(size) - size, np.cumsum(times) - times
@@ -326,7 +363,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def remove_repeats(docs: DataFrame, bucket_bytes: int = 16 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, bucket_bytes: int = 16 << 20, hot: int = 10_000) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) per row of docs (doc_id long, text).
 
     Null text is empty. Rows that repeat a doc_id never match each other, and each loses what either of them loses at its
@@ -340,7 +377,7 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = 16 << 20) -> DataFrame:
     buckets = max(1, size // bucket_bytes)
     finer = buckets * 4
     asked = named.mapInArrow(lambda it: _anchors(it, buckets), _SENT)
-    shared = asked.groupBy("bucket").applyInArrow(lambda t: _shared(t, buckets), "group int, docs binary, codes binary")
+    shared = asked.groupBy("bucket").applyInArrow(lambda t: _shared(t, buckets, hot), "group int, docs binary, codes binary")
     told = shared.groupBy("group").applyInArrow(_told, "doc_id long, codes binary")
     told = named.join(told, "doc_id", "left").select("doc_id", "text", "codes")
     texts = told.mapInArrow(lambda it: _texts(it, buckets, finer), _SENT)

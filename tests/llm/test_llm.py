@@ -18,7 +18,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from parcelmart.llm import bytehash as H
-from parcelmart.llm import packing
+from parcelmart.llm import packing, suffix_dedup
 from parcelmart.llm.decontaminate import leaks, without_leaks
 from parcelmart.llm.graph_search import neighbours
 from parcelmart.llm.html_text import extract, main_text
@@ -141,6 +141,24 @@ def test_suffix_dedup_of_passages_repeated_in_a_document(spark):
     assert in_own_batches(spark, texts) == list(without_repeats(texts))
 
 
+def test_suffix_dedup_deals_out_hot_anchors(spark):
+    texts = [t or "" for t in corpus()]
+    assert in_own_batches(spark, texts, hot=2) == list(without_repeats(texts))
+    # 400 documents around one phrase: the runs of its anchor do not meet in one bucket
+    phrase = " ".join(words(12, 1))
+    texts = [f"{' '.join(words(9, k, 50000))} {phrase} {' '.join(words(9, 999 - k % 399, 50000))}" for k in range(400)]
+    assert in_own_batches(spark, texts, hot=20) == list(without_repeats(texts))
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.record_batch([ids, pa.array(texts)], names=["doc_id", "text"])
+    asked = pa.Table.from_batches(suffix_dedup._anchors(iter([batch]), 1))
+    told = suffix_dedup._told(suffix_dedup._shared(asked, 1, 20)).sort_by("doc_id")
+    assert told.num_rows == len(texts)
+    sent = next(suffix_dedup._texts(iter([batch.append_column("codes", told.column("codes").combine_chunks())]), 1, 64))
+    buckets = Counter(r["bucket"] for r in sent.to_pylist() if r["keys"] is not None)
+    most = max(len(suffix_dedup._unpack(r["rows"], np.uint32)) for r in sent.to_pylist() if r["keys"] is not None)
+    assert len(buckets) == 64 and most < 400
+
+
 def test_suffix_dedup_keeps_unnamed_rows(spark):
     text = " ".join(words(60, 3))
     df = spark.createDataFrame([(None, text), (1, text), (2, text)], "doc_id long, text string")
