@@ -344,6 +344,34 @@ def test_html(spark, html, text):
     assert (row.text, row.n_chars) == (text, len(text))
 
 
+LONG = ["The parcel left the depot " + f"on day {k} and went along the coast road until it came to the next town. " * 2 for k in range(4)]
+LONG = [x.strip() for x in LONG]
+VERSE = ["The road was long", "the night was cold", "and nobody came"]
+
+
+def paragraphs(lines):
+    return "".join(f"<p>{x}</p>" for x in lines)
+
+
+@pytest.mark.parametrize(
+    ("html", "lines"),
+    [
+        # all <article> elements of the page
+        (f"<main></main><article>{paragraphs(LONG[:2])}</article><div>x</div><article>{paragraphs(LONG[2:])}</article>", LONG),
+        # a small container does not outweigh the text outside it
+        (f"<article><p>Teaser</p></article><div>{paragraphs(LONG)}</div>", LONG),
+        # short lines within the article, and at its edges
+        (f"<div><a>x</a></div><div id=c>{paragraphs(LONG[:2] + VERSE + LONG[2:])}</div><div><p>Links</p><p>Terms</p></div>", [*LONG[:2], *VERSE, *LONG[2:]]),
+        (f"<div><h1>Title</h1>{paragraphs([*LONG[:2], 'So it ended.'])}</div>", ["Title", *LONG[:2], "So it ended."]),
+        # names are whole class names
+        (f"<body><div class='has-sidebar popular-science'>{paragraphs(LONG)}</div><div class='site-footer'>{LONG[0]}</div></body>", LONG),
+        (f"<body><div class='left sidebar'>{paragraphs(LONG)}</div><div class='cookie-notice'>{LONG[0]}</div><p>{LONG[1]}</p></body>", LONG[1:2]),
+    ],
+)
+def test_html_by_block_sums(html, lines):
+    assert main_text(html) == "\n\n".join(lines)
+
+
 def test_quality(spark):
     good = [" ".join(words(80, k)) for k in range(40)]
     bad = [" | ".join(f"{w}$$$" for w in words(60, k)) for k in range(10)]
