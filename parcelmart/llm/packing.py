@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import base64
+import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -22,7 +25,10 @@ _known: dict[str, tuple] = {}
 
 
 def _encoder(path: str) -> tuple:
-    """The tokenizer of the rank file at `path`, and the bytes per id; kept for the life of a worker."""
+    """The tokenizer of the rank file at `path`, the bytes per id, and the added tokens; kept for the life of a worker.
+
+    Added tokens are those of the `tokenizers` file of the same name beside it, where there is one.
+    """
     if path not in _encoders:
         import tiktoken
 
@@ -31,17 +37,38 @@ def _encoder(path: str) -> tuple:
         sizes = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, i in ranks.items():
             sizes[i] = len(token)
-        _encoders[path] = tiktoken.Encoding("packing", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}), sizes
+        _encoders[path] = tiktoken.Encoding("packing", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}), sizes, _added(path)
     return _encoders[path]
 
 
+def _added(path: str) -> dict[bytes, int]:
+    beside = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(beside):
+        return {}
+    with open(beside, "rb") as f:
+        tokens = json.load(f)["added_tokens"]
+    if other := [t["content"] for t in tokens if t["single_word"] or t["lstrip"] or t["rstrip"]]:
+        raise ValueError(f"added tokens that take or ask for what stands beside them: {other}")
+    return {t["content"].encode(): t["id"] for t in tokens}
+
+
+def _quoted(data: np.ndarray, at: np.ndarray, added: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the added tokens in the texts, from the left, the longest of those that begin at one place."""
+    text, found = data.tobytes(), []
+    if any(token in text for token in added):
+        every = re.compile(b"|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)))
+        found = [(m.start() + a, m.end() + a) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True) for m in every.finditer(text[a:b])]
+    x = np.array(found, np.int64).reshape(-1, 2)
+    return x[:, 0], x[:, 1]
+
+
 def encode(data: np.ndarray, at: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row, and where each begins.
 
     A token never spans the place before a single space between two plain characters. Texts are cut there, each distinct
-    stretch is tokenised once, and its ids are put wherever the stretch occurs.
+    stretch is tokenised once, and its ids are put wherever the stretch occurs. An added token is a stretch of its own.
     """
-    encoder, sizes = _encoder(path)
+    encoder, sizes, added = _encoder(path)
     n = len(data)
     if not n:
         return np.zeros(0, np.uint32), np.zeros(len(at), np.int64)
@@ -55,6 +82,8 @@ def encode(data: np.ndarray, at: np.ndarray, path: str) -> tuple[np.ndarray, np.
     cut = (data == 32) & plain_before & plain_after
     heads = at[:-1][np.diff(at) > 0]
     cut[heads] = True
+    for edge in _quoted(data, at, added):
+        cut[edge[edge < n]] = True
     start = np.flatnonzero(cut)
     end = np.append(start[1:], n)
     p = H.prefix(data, H.BYTE)
@@ -69,7 +98,8 @@ def encode(data: np.ndarray, at: np.ndarray, path: str) -> tuple[np.ndarray, np.
     fresh[inside] = known[0][k[inside]] != mark[inside]
     if fresh.any():
         new = np.flatnonzero(fresh)
-        spaced = data[start[first[new]]] == 32
+        lo = start[first[new]]
+        spaced = (data[lo] == 32) & plain_after[lo] & (end[first[new]] - lo > 1)
         new = np.concatenate([new[spaced], new[~spaced]])
         lo, size = start[first[new]], (end - start)[first[new]]
         stop = np.cumsum(size)
@@ -83,7 +113,9 @@ def encode(data: np.ndarray, at: np.ndarray, path: str) -> tuple[np.ndarray, np.
             ids.append(got)
             counts.append(np.diff(upto, prepend=0))
         for x in range(m, len(new)):
-            ids.append(np.array(encoder.encode_ordinary(text[stop[x] - size[x] : stop[x]].decode()), np.uint32))
+            stretch = text[stop[x] - size[x] : stop[x]]
+            own = [added[stretch]] if stretch in added else encoder.encode_ordinary(stretch.decode())
+            ids.append(np.array(own, np.uint32))
             counts.append(np.array([len(ids[-1])]))
         count = np.concatenate(counts).astype(np.int64)
         begin = len(known[3]) + np.cumsum(count) - count

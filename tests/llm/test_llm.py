@@ -241,6 +241,17 @@ def test_tokens_are_those_of_the_tokenizer(texts):
     assert [ids[at[i] : at[i + 1]].tolist() for i in range(len(texts))] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "a", " b", " ", "  ", "\n", "é", "'s", "<"]), max_size=12).map("".join), max_size=6))
+def test_added_tokens_are_those_of_the_tokenizer(texts):
+    texts = [*texts, "one<|endoftext|>two <|endoftext|>  three", "<|endof", "text|>", " b ", "  a"]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    packing._known.clear()
+    ids, at = packing.encode(*H.flat(pa.array(texts, pa.string())), RANKS)
+    assert [ids[at[i] : at[i + 1]].tolist() for i in range(len(texts))] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in ids
+
+
 def test_packing(spark):
     texts = [*corpus(), "x y z " * 2000, *(" ".join(words(3 + k % 50, k)) for k in range(300))]
     rows = packing.pack(documents(spark, texts), RANKS, bucket=20).toPandas()
