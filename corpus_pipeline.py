@@ -22,12 +22,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _chosen(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of docs whose doc_id and text are in keys (doc_id, _t1, _t2)."""
+def _chosen(docs: DataFrame, keys: DataFrame, once: bool = False) -> DataFrame:
+    """Rows of docs whose doc_id and text are in keys (doc_id, _t1, _t2); once: the least of those that agree in both."""
     keys = keys.select(F.coalesce("doc_id", F.lit(-1)).alias("_d"), "_t1", "_t2").distinct()
     keyed = docs.withColumns(dict(zip(("_t1", "_t2"), text_key(F.col("text")), strict=True)))
     keyed = keyed.withColumn("_d", F.coalesce("doc_id", F.lit(-1)))
-    return keyed.join(keys, ["_d", "_t1", "_t2"], "left_semi").select(*docs.columns)
+    found = keyed.join(keys, ["_d", "_t1", "_t2"], "left_semi")
+    if once:
+        row = F.struct(F.isnull("doc_id").alias("_n"), *docs.columns)
+        found = found.groupBy("_d", "_t1", "_t2").agg(F.min(row).alias("_x")).select("_x.*")
+    return found.select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +48,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest doc_id, of each group of near duplicates."""
-    return _chosen(docs, near_duplicates(docs).where("kept"))
+    """One row of each group of near duplicates: the smallest doc_id, then text hash; rows without words are no group."""
+    first = F.min(F.struct(F.isnull("doc_id").alias("n"), "doc_id", "_t1", "_t2")).alias("x")
+    one = near_duplicates(docs).where("n_shingles > 0").groupBy("_c").agg(first).select("x.doc_id", "x._t1", "x._t2")
+    wordless = docs.where(~F.coalesce("text", F.lit("")).rlike(r"[^\x09-\x0D ]"))
+    return _chosen(docs, one, once=True).unionByName(wordless)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -231,11 +231,12 @@ def _compared(level: DataFrame, named: DataFrame, block: int, floor: float) -> D
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, **how) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, _t1, _t2) per row of docs (columns doc_id and text are read).
+    """(doc_id, n_shingles, component_id, kept, _t1, _t2, _c) per row of docs (columns doc_id and text are read).
 
     Links join documents with 100 * intersection >= percent * union of shingle sets. component_id is the smallest doc_id
     reachable. Null or wordless text: no shingles, linked with nothing. Rows that repeat a doc_id are documents of their own;
     a null doc_id takes part in links but never names a component unless all of it is null. kept: doc_id is component_id.
+    _c names the component of a row with shingles; component_id is the same in two components that share a doc_id.
     """
     rows = staged(sketches(docs, width), "sketches")
     joined = components(links(docs, rows, width, percent, **how))
@@ -245,4 +246,4 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, **how) -
     named = staged(named.withColumn("_c", F.when(F.col("n_shingles") == 0, alone).otherwise(in_set)).drop("node", "root"), "named")
     least = staged(named.groupBy("_c").agg(F.min("doc_id").alias("component_id")), "least")
     out = named.join(least, "_c").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return out.select("doc_id", "n_shingles", "component_id", "kept", "_t1", "_t2")
+    return out.select("doc_id", "n_shingles", "component_id", "kept", "_t1", "_t2", "_c")

@@ -431,6 +431,20 @@ def test_pipeline(spark, tmp_path):
     assert len(texts) - 1 not in set(got.doc_id) and len(texts) - 2 in set(got.doc_id)
 
 
+def test_near_dup_stage_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(words(80, 700 + k, 3000)) for k in range(3))
+    near = a.rsplit(" ", 1)[0] + " changed"
+    rows = [(1, a, "x"), (1, a, "x"), (1, near, "x"), (2, a, "x"), (1, b, "x"), (None, c, "y"), (None, c, "x"), (None, f"{c} more", "x")]
+    rows += [(-1, "one word", "x"), (None, "one word", "x"), (5, "", "x"), (5, None, "x"), (None, " \n", "x"), (None, " \n", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    left = corpus_pipeline.near_dup(spark, docs, "")
+    assert left.columns == docs.columns
+    got = Counter("a" if r.text in (a, near) else "c" if r.text and r.text.startswith(c) else (r.doc_id, r.text) for r in left.collect())
+    assert got == Counter(["a", (1, b), "c", (-1, "one word"), (5, ""), (5, None), (None, " \n"), (None, " \n")])
+
+
 def test_native_operator_has_no_python():
     source = Path(__file__).parents[2].joinpath("parcelmart/llm/line_dedup.py").read_text()
     assert not re.search(r"mapIn|applyIn|udf|pandas|\.rdd", source)
