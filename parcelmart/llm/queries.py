@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelmart.llm.best_fit import pack_best_fit
+from parcelmart.llm.collocations import collocations
 from parcelmart.llm.decontaminate import leaks
 from parcelmart.llm.graph_search import neighbours
 from parcelmart.llm.html_text import extract
@@ -16,6 +18,7 @@ from parcelmart.llm.near_dup import near_duplicates
 from parcelmart.llm.packing import pack
 from parcelmart.llm.personal_data import find
 from parcelmart.llm.quality import classify
+from parcelmart.llm.role_repair import repair_damaged
 from parcelmart.llm.suffix_dedup import remove_repeats
 from parcelmart.llm.toxicity import score
 
@@ -67,6 +70,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_best_fit(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_packing": op2_packing,
@@ -78,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_personal_data": op9_personal_data,
     "op10_toxicity": op10_toxicity,
+    "op11_role_repair": op11_role_repair,
+    "op12_best_fit": op12_best_fit,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE: dict[str, str] = {
@@ -110,4 +128,42 @@ ORACLE: dict[str, str] = {
             CASE WHEN p.text IS NOT NULL THEN coalesce(k.text, '') END AS text
         FROM parts p LEFT JOIN kept k ON k.doc_id = p.doc_id LEFT JOIN sums s ON s.doc_id = p.doc_id
     """,
+    "op13_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), split AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+        ), total AS (
+            SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang
+        ), placed AS (
+            SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split
+        ), runs AS (
+            SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+            FROM placed, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(w)
+        ), often AS (
+            SELECT lang, k, phrase, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 30
+        ), candidates AS (
+            SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM often WHERE k > 1
+        ), cuts AS (
+            SELECT c.lang, c.phrase, c.f AS a, c.cut, l.f AS l, r.f AS r,
+                CAST(CAST(2000000 AS HUGEINT) * c.f // (l.f + r.f) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+            JOIN often l ON l.lang = c.lang AND l.k = c.cut AND l.phrase = array_to_string(c.w[1 : c.cut], ' ')
+            JOIN often r ON r.lang = c.lang AND r.k = c.k - c.cut AND r.phrase = array_to_string(c.w[c.cut + 1 :], ' ')
+        ), lowest AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+        ), inner_phrases AS (
+            SELECT lang, f, array_to_string(w[i : i + n - 1], ' ') AS phrase
+            FROM (SELECT *, unnest(range(1, k)) AS i FROM candidates), (SELECT unnest([2, 3]) AS n) WHERE n < k AND i + n - 1 <= k
+        ), covered AS (
+            SELECT lang, phrase, max(f) AS most FROM inner_phrases GROUP BY ALL
+        ), ranked AS (
+            SELECT lo.*, row_number() OVER (PARTITION BY lo.lang ORDER BY score DESC, a DESC, lo.phrase) AS rank
+            FROM lowest lo LEFT JOIN covered c ON c.lang = lo.lang AND c.phrase = lo.phrase
+            WHERE c.most IS NULL OR 100 * c.most < 80 * lo.a
+        )
+        SELECT r.lang, rank, phrase, a, l, r, n, score FROM ranked r JOIN total t ON t.lang = r.lang WHERE rank <= 2000
+    """,
 }
