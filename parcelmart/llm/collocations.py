@@ -6,8 +6,9 @@ text of one language, in which positions are slots. One level:
 
 1. extend: the relation is merged with itself at adjacent positions, each chunk for itself; two overlapping phrases of k words
    make one of k + 1. Each distinct pair of a chunk is one row with its count, which is the pre-aggregation before any shuffle.
-2. count: the rows are grouped by pair and summed; pairs that are frequent get a number.
-3. semi-join: the rows of frequent pairs go back to their chunks, where all other occurrences leave the relation.
+2. count: the rows are summed by pair; pairs that are frequent get a number.
+3. semi-join: the rows of frequent pairs, which stand beside the sums, go back to their chunks, where all other occurrences
+   leave the relation before the next level.
 
 A phrase is a pair of numbers of shorter phrases, and words are compared by their text, so no hash decides anything. Only
 phrases both of whose parts are frequent are ever counted, as a phrase is never more frequent than what it holds.
@@ -58,20 +59,42 @@ def _slots(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     return slots, coded.dictionary.cast(pa.large_string())
 
 
+def _chunk(number: int, lang: str, texts: list[pa.Array]) -> pa.RecordBatch | None:
+    slots, words = _slots(*H.flat(pa.chunked_array(texts)))
+    if not len(words):
+        return None
+    n = np.bincount(slots[slots >= 0], minlength=len(words)).astype(np.int64)
+    row = [number], [lang], [slots.tobytes()], [words.to_pylist()], [n]
+    kinds = pa.int64(), pa.string(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], ["chunk", "lang", "slots", "words", "n"])
+
+
 def _chunked(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Texts of one language together; when `limit` bytes are held, those of the language with most become a chunk."""
     number = TaskContext.get().partitionId() << 33
+    held: dict[str, list[pa.Array]] = {}
+    size: dict[str, int] = {}
+
+    def release() -> Iterator[pa.RecordBatch]:
+        nonlocal number
+        lang = max(size, key=lambda x: (size[x], x))
+        del size[lang]
+        if row := _chunk(number, lang, held.pop(lang)):
+            number += 1
+            yield row
+
     for whole in batches:
-        for batch in H.pieces(whole, "text", limit):
+        for batch in H.pieces(whole, "text", 1 << 20):
             lang = batch.column("lang").dictionary_encode()
             which = lang.indices.to_numpy()
             for k, name in enumerate(lang.dictionary.to_pylist()):
-                slots, words = _slots(*H.flat(batch.column("text").take(pa.array(np.flatnonzero(which == k)))))
-                if not len(words):
-                    continue
-                n = np.bincount(slots[slots >= 0], minlength=len(words)).astype(np.int64)
-                row = [[number], [name], [slots.tobytes()], pa.array([words.to_pylist()], pa.list_(pa.string())), pa.array([n], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in row], ["chunk", "lang", "slots", "words", "n"])
-                number += 1
+                texts = batch.column("text").take(pa.array(np.flatnonzero(which == k)))
+                held.setdefault(name, []).append(texts)
+                size[name] = size.get(name, 0) + texts.nbytes
+            while sum(size.values()) > limit:
+                yield from release()
+    while size:
+        yield from release()
 
 
 def _pairs(slots: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,6 +114,17 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in values], ["chunk", "i", "a", "b", "n"])
 
 
+def _frequent(rows: DataFrame, keys: list[str], least: int, place: int, of: int) -> DataFrame:
+    """Rows (chunk, i, keys, n) of keys whose n sum to `least`, with the sum f, the key's id, and first on one row of each key.
+
+    Counting and semi-join share one shuffle: a key has at most one row per chunk, counted in the chunk before.
+    """
+    rows = rows.repartition(*keys).withColumn("uid", F.monotonically_increasing_id())
+    same = Window.partitionBy(*keys)
+    rows = rows.withColumn("f", F.sum("n").over(same)).withColumn("low", F.min("uid").over(same)).where(F.col("f") >= least)
+    return rows.select("chunk", "i", *keys, "f", (F.col("low") * of + place).alias("id"), (F.col("uid") == F.col("low")).alias("first"))
+
+
 def _narrowed(relation: DataFrame, frequent: DataFrame, pairs: bool) -> DataFrame:
     """The relation of what is in frequent (chunk, i, id): words where they stand, or pairs of adjacent phrases."""
 
@@ -115,11 +149,11 @@ def _narrowed(relation: DataFrame, frequent: DataFrame, pairs: bool) -> DataFram
     return kept.groupBy("part").cogroup(frequent.groupBy("chunk")).applyInArrow(one, "chunk long, slots binary, names binary")
 
 
-def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, limit: int = 8 << 20) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, limit: int = 16 << 20) -> tuple[DataFrame, DataFrame]:
     """Phrases with at least `least` occurrences, and (lang, n), all words of each language.
 
     Phrases are (id, lang, words, phrase, last, f, heads, tails, within): heads and tails count the phrase's first and last 1, 2 ..
-    words, within has the ids of shorter phrases of two words or more inside it. A chunk holds `limit` bytes or one longer text.
+    words, within has the ids of shorter phrases of two words or more inside it. A task holds `limit` bytes of text or one longer text.
     """
     rows = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     chunks = rows.mapInArrow(lambda it: _chunked(it, limit), "chunk long, lang string, slots binary, words array<string>, n array<long>")
@@ -127,23 +161,20 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, limit:
     total = chunks.groupBy("lang").agg(F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda x, y: x + y)).alias("n"))
 
     words = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "n")).alias("i", "x")).select("chunk", "lang", "i", "x.words", "x.n")
-    found = words.groupBy("lang", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    found = staged(_frequent(words, ["lang", "words"], least, 0, longest), "found")
     none = F.array().cast("array<long>")
     one = F.array("f")
-    level = found.select(
-        F.monotonically_increasing_id().alias("id"), "lang", F.lit(1).alias("words"), F.col("words").alias("phrase"), F.col("words").alias("last"),
-        "f", one.alias("heads"), one.alias("tails"), none.alias("within"),
-    )
+    level = found.where("first").select(
+        "id", "lang", F.lit(1).alias("words"), F.col("words").alias("phrase"), F.col("words").alias("last"), "f", one.alias("heads"), one.alias("tails"), none.alias("within")
+    )
     level = staged(level, "frequent")
-    back = words.join(level.select("id", "lang", F.col("phrase").alias("words")), ["lang", "words"]).select("chunk", "i", "id")
-    relation = staged(_narrowed(chunks, back, pairs=False), "occurrences")
+    relation = staged(_narrowed(chunks, found.select("chunk", "i", "id"), pairs=False), "occurrences")
     levels = [level]
     for k in range(2, longest + 1):
-        pairs = staged(relation.mapInArrow(_extended, "chunk long, i long, a long, b long, n long"), "pairs")
-        found = pairs.groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-        found = staged(found.select(((F.monotonically_increasing_id() * longest) + (k - 1)).alias("id"), "a", "b", "f"), "found")
+        pairs = relation.mapInArrow(_extended, "chunk long, i long, a long, b long, n long")
+        found = staged(_frequent(pairs, ["a", "b"], least, k - 1, longest), "found")
         side = lambda x, *columns: level.select(F.col("id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in columns))
-        joined = found.join(side("a", "lang", "phrase", "heads", "within"), "a").join(side("b", "last", "tails", "within"), "b")
+        joined = found.where("first").join(side("a", "lang", "phrase", "heads", "within"), "a").join(side("b", "last", "tails", "within"), "b")
         parts = F.array_union(F.array_union("within_a", "within_b"), F.array("a", "b") if k > 2 else none)
         level = joined.select(
             "id", F.col("lang_a").alias("lang"), F.lit(k).alias("words"), F.concat_ws(" ", "phrase_a", "last_b").alias("phrase"), F.col("last_b").alias("last"),
@@ -152,12 +183,11 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, limit:
         level = staged(level, "frequent")
         levels.append(level)
         if k < longest:
-            back = pairs.join(found, ["a", "b"]).select("chunk", "i", "id")
-            relation = staged(_narrowed(relation, back, pairs=True), "occurrences")
+            relation = staged(_narrowed(relation, found.select("chunk", "i", "id"), pairs=True), "occurrences")
     return reduce(DataFrame.unionByName, levels), total
 
 
-def collocations(docs: DataFrame, top: int = 2000, least: int = 30, longest: int = 4, covered: int = 80, limit: int = 8 << 20) -> DataFrame:
+def collocations(docs: DataFrame, top: int = 2000, least: int = 30, longest: int = 4, covered: int = 80, limit: int = 16 << 20) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the `top` phrases of two to `longest` words of each language.
 
     a counts the phrase, l and r the parts of its lowest-scoring cut, n all words of the language. A phrase that stands inside
