@@ -36,6 +36,17 @@ _BLANK = _ENDS.copy()
 _BLANK[[9, 32]] = True
 
 
+_ZSTD = pa.Codec("zstd", 1)
+
+
+def _packed(slots: np.ndarray) -> bytes:
+    return len(slots).to_bytes(8, "little") + _ZSTD.compress(np.ascontiguousarray(slots, np.int32), asbytes=True)
+
+
+def _unpacked(held: bytes) -> np.ndarray:
+    return np.frombuffer(_ZSTD.decompress(held[8:], 4 * int.from_bytes(held[:8], "little")), np.int32)
+
+
 def _slots(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """The word in every slot as an index into the distinct words, -1 at the end of a piece; and the distinct words."""
     data = _LOWER[data]
@@ -64,7 +75,7 @@ def _chunk(number: int, lang: str, texts: list[pa.Array]) -> pa.RecordBatch | No
     if not len(words):
         return None
     n = np.bincount(slots[slots >= 0], minlength=len(words)).astype(np.int64)
-    row = [number], [lang], [slots.tobytes()], [words.to_pylist()], [n]
+    row = [number], [lang], [_packed(slots)], [words.to_pylist()], [n]
     kinds = pa.int64(), pa.string(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], ["chunk", "lang", "slots", "words", "n"])
 
@@ -107,46 +118,63 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for chunk, held, names in zip(*(batch.column(c).to_pylist() for c in ("chunk", "slots", "names")), strict=True):
             names = np.frombuffer(names, np.int64)
-            pair, n = np.unique(_pairs(np.frombuffer(held, np.int32), len(names))[1], return_counts=True)
+            pair, n = np.unique(_pairs(_unpacked(held), len(names))[1], return_counts=True)
             for a in range(0, len(pair), 100_000):
                 part = pair[a : a + 100_000]
-                values = np.full(len(part), chunk), np.arange(a, a + len(part)), names[part // len(names)], names[part % len(names)], n[a : a + len(part)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in values], ["chunk", "i", "a", "b", "n"])
+                values = np.full(len(part), chunk), names[part // len(names)], names[part % len(names)], n[a : a + len(part)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in values], ["chunk", "a", "b", "n"])
 
 
 def _frequent(rows: DataFrame, keys: list[str], least: int, place: int, of: int) -> DataFrame:
-    """Rows (chunk, i, keys, n) of keys whose n sum to `least`, with the sum f, the key's id, and first on one row of each key.
+    """Rows with a chunk and n whose keys' n sum to `least`, with the sum f, the key's id, and first on one row of each key.
 
     Counting and semi-join share one shuffle: a key has at most one row per chunk, counted in the chunk before.
     """
     rows = rows.repartition(*keys).withColumn("uid", F.monotonically_increasing_id())
     same = Window.partitionBy(*keys)
     rows = rows.withColumn("f", F.sum("n").over(same)).withColumn("low", F.min("uid").over(same)).where(F.col("f") >= least)
-    return rows.select("chunk", "i", *keys, "f", (F.col("low") * of + place).alias("id"), (F.col("uid") == F.col("low")).alias("first"))
+    return rows.select(*(c for c in rows.columns if c not in ("n", "f", "uid", "low")), "f", (F.col("low") * of + place).alias("id"), (F.col("uid") == F.col("low")).alias("first"))
+
+
+_RELATION = "chunk long, slots binary, names binary"
+
+
+def _row(chunk: int, slots: np.ndarray, place: np.ndarray, names: np.ndarray) -> pa.Table:
+    """The relation's row in which place[x] stands for x, and nothing for what place has as -1."""
+    values = [chunk], [_packed(np.append(place, -1)[slots])], [names.astype(np.int64).tobytes()]
+    return pa.table([pa.array(x, k) for x, k in zip(values, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["chunk", "slots", "names"])
+
+
+_NOTHING = pa.schema([("chunk", pa.int64()), ("slots", pa.binary()), ("names", pa.binary())]).empty_table()
 
 
-def _narrowed(relation: DataFrame, frequent: DataFrame, pairs: bool) -> DataFrame:
-    """The relation of what is in frequent (chunk, i, id): words where they stand, or pairs of adjacent phrases."""
+def _words_left(left: pa.Table, right: pa.Table) -> pa.Table:
+    """A chunk in which only the words of right (i, id) are left."""
+    if not left.num_rows or not right.num_rows:
+        return _NOTHING
+    slots = _unpacked(left.column("slots")[0].as_py())
+    i, names = (right.column(c).to_numpy() for c in ("i", "id"))
+    order = np.argsort(i)
+    place = np.full(int(slots.max()) + 1, -1, np.int32)
+    place[i[order]] = np.arange(len(i))
+    return _row(left.column("part")[0].as_py(), slots, place, names[order])
 
-    def one(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("chunk", pa.int64()), ("slots", pa.binary()), ("names", pa.binary())])
-        if not left.num_rows or not right.num_rows:
-            return schema.empty_table()
-        slots = np.frombuffer(left.column("slots")[0].as_py(), np.int32)
-        if pairs:
-            here, pair = _pairs(slots, len(left.column("names")[0].as_py()) // 8)
-            _, kind = np.unique(pair, return_inverse=True)
-            slots = np.full(len(slots), -1, np.int32)
-            slots[here] = kind
-        i = right.column("i").to_numpy()
-        local = np.full(max(int(slots.max()), int(i.max())) + 2, -1, np.int32)  # the last place stands for -1
-        local[i] = np.arange(len(i))
-        names = right.column("id").to_numpy().astype(np.int64)
-        row = left.column("part")[0].as_py(), local[slots].tobytes(), names.tobytes()
-        return pa.Table.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
 
-    kept = relation.select(F.col("chunk").alias("part"), "slots", *(["names"] if pairs else []))
-    return kept.groupBy("part").cogroup(frequent.groupBy("chunk")).applyInArrow(one, "chunk long, slots binary, names binary")
+def _pairs_left(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The relation's row of the pairs of adjacent phrases that right (a, b, id) has."""
+    if not left.num_rows or not right.num_rows:
+        return _NOTHING
+    slots, held = _unpacked(left.column("slots")[0].as_py()), np.frombuffer(left.column("names")[0].as_py(), np.int64)
+    here, pair = _pairs(slots, len(held))
+    distinct, kind = np.unique(pair, return_inverse=True)
+    order = np.argsort(held)
+    a, b = (order[np.searchsorted(held[order], right.column(c).to_numpy())] for c in ("a", "b"))
+    at = np.searchsorted(distinct, a * len(held) + b)
+    place = np.full(len(distinct), -1, np.int32)
+    place[at] = np.arange(len(at))
+    wide = np.full(len(slots), -1, np.int32)
+    wide[here] = kind
+    return _row(left.column("part")[0].as_py(), wide, place, right.column("id").to_numpy())
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, limit: int = 16 << 20) -> tuple[DataFrame, DataFrame]:
@@ -168,10 +196,12 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, limit:
         "id", "lang", F.lit(1).alias("words"), F.col("words").alias("phrase"), F.col("words").alias("last"), "f", one.alias("heads"), one.alias("tails"), none.alias("within")
     )
     level = staged(level, "frequent")
-    relation = staged(_narrowed(chunks, found.select("chunk", "i", "id"), pairs=False), "occurrences")
+    texts = chunks.select(F.col("chunk").alias("part"), "slots").groupBy("part")
+    relation = texts.cogroup(found.select("chunk", "i", "id").groupBy("chunk")).applyInArrow(_words_left, _RELATION)
+    relation = staged(relation, "occurrences")
     levels = [level]
     for k in range(2, longest + 1):
-        pairs = relation.mapInArrow(_extended, "chunk long, i long, a long, b long, n long")
+        pairs = relation.mapInArrow(_extended, "chunk long, a long, b long, n long")
         found = staged(_frequent(pairs, ["a", "b"], least, k - 1, longest), "found")
         side = lambda x, *columns: level.select(F.col("id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in columns))
         joined = found.where("first").join(side("a", "lang", "phrase", "heads", "within"), "a").join(side("b", "last", "tails", "within"), "b")
@@ -183,7 +213,9 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, limit:
         level = staged(level, "frequent")
         levels.append(level)
         if k < longest:
-            relation = staged(_narrowed(relation, found.select("chunk", "i", "id"), pairs=True), "occurrences")
+            held = relation.select(F.col("chunk").alias("part"), "slots", "names").groupBy("part")
+            relation = held.cogroup(found.select("chunk", "a", "b", "id").groupBy("chunk")).applyInArrow(_pairs_left, _RELATION)
+            relation = staged(relation, "occurrences")
     return reduce(DataFrame.unionByName, levels), total
 
 
