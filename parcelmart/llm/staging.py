@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,22 +10,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Shuffle files go when the query that wrote them ends: what is staged is read from the table and never computed again.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session; one of our own only where none is set, as in tests."""
+    """`spark.checkpoint.dir` of the session; a local session without it gets a folder of its own, a cluster an error."""
     sc = spark.sparkContext
     folder = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
     if not folder:
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
-        sc.setCheckpointDir(folder)
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
         folder = sc.getCheckpointDir()
     return folder
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The same rows from a table in the shared folder: cuts the lineage, and a lost executor costs only what it ran."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_key(text) -> list:
