@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelmart.llm import bytehash as H
-from parcelmart.llm.staging import staged
+from parcelmart.llm.staging import discard, staged
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -187,6 +187,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, limit:
     chunks = rows.mapInArrow(lambda it: _chunked(it, limit), "chunk long, lang string, slots binary, words array<string>, n array<long>")
     chunks = staged(chunks, "chunks")
     total = chunks.groupBy("lang").agg(F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda x, y: x + y)).alias("n"))
+    total = staged(total, "total")
 
     words = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "n")).alias("i", "x")).select("chunk", "lang", "i", "x.words", "x.n")
     found = staged(_frequent(words, ["lang", "words"], least, 0, longest), "found")
@@ -199,6 +200,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, limit:
     texts = chunks.select(F.col("chunk").alias("part"), "slots").groupBy("part")
     relation = texts.cogroup(found.select("chunk", "i", "id").groupBy("chunk")).applyInArrow(_words_left, _RELATION)
     relation = staged(relation, "occurrences")
+    discard(chunks, found)
     levels = [level]
     for k in range(2, longest + 1):
         pairs = relation.mapInArrow(_extended, "chunk long, a long, b long, n long")
@@ -214,8 +216,12 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, limit:
         levels.append(level)
         if k < longest:
             held = relation.select(F.col("chunk").alias("part"), "slots", "names").groupBy("part")
-            relation = held.cogroup(found.select("chunk", "a", "b", "id").groupBy("chunk")).applyInArrow(_pairs_left, _RELATION)
-            relation = staged(relation, "occurrences")
+            narrowed = held.cogroup(found.select("chunk", "a", "b", "id").groupBy("chunk")).applyInArrow(_pairs_left, _RELATION)
+            narrowed = staged(narrowed, "occurrences")
+            discard(relation)
+            relation = narrowed
+        discard(found)
+    discard(relation)
     return reduce(DataFrame.unionByName, levels), total
 
 

@@ -39,6 +39,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing will read again. Other tables are left as they are."""
+    for table in tables:
+        spark = table.sparkSession
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        own = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+        own = own.getFileSystem(conf).makeQualified(own).toUri().getPath()
+        for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            if path.toUri().getPath().startswith(f"{own}/"):
+                path.getFileSystem(conf).delete(path, True)
+
+
 def text_key(text) -> list:
     """Two 64-bit hashes that stand for a text in joins; null counts as empty."""
     whole = F.coalesce(text, F.lit(""))
