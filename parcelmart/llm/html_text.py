@@ -13,6 +13,7 @@ A page where nothing surges keeps its <article> and <main> elements, or if it ha
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -59,6 +60,7 @@ class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int, int]] = []
+        self.open: Counter[str] = Counter()  # elements on the stack, so that a tag that closes none costs nothing
         self.held: list[str] = []
         self.lines: list[tuple[str, int, int, bool]] = []
         self.containers = 0
@@ -102,14 +104,17 @@ class _Lines(HTMLParser):
             self.outer.append(box)
             box = len(self.outer) - 1
         self.stack.append((tag, dropped, inside, box))
+        self.open[tag] += 1
 
     def close_inside(self, tags: tuple[str, ...]) -> None:
         """Closes the innermost open element of these, if no list, table or section stands between."""
+        if not any(self.open[t] for t in tags):
+            return
         for k in range(len(self.stack) - 1, -1, -1):
             name = self.stack[k][0]
             if name in tags:
                 self.line()
-                del self.stack[k:]
+                self.close_from(k)
                 return
             if name in _SCOPE or name == "div" and "p" in tags:
                 return
@@ -117,10 +122,19 @@ class _Lines(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in _BLOCK:
             self.line()
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                del self.stack[k:]
-                return
+        if self.open[tag]:
+            self.close_from(next(k for k in range(len(self.stack) - 1, -1, -1) if self.stack[k][0] == tag))
+
+    def close_from(self, k: int) -> None:
+        self.open.subtract(x[0] for x in self.stack[k:])
+        del self.stack[k:]
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """A marked section that the parser does not know is a comment up to the next `>`."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.rawdata.find(">", i + 2) + 1 or len(self.rawdata)
 
     def handle_data(self, data: str) -> None:
         if not (self.stack and self.stack[-1][1]):
@@ -166,9 +180,10 @@ def main_text(html: str, window: int = 3, surge: int = 80) -> str:
     # stretches of lines outside all containers, and of each container as a whole
     runs: list[tuple[int, int]] = []
     chosen: dict[int, int] = {}
+    total = np.bincount(inside, size).astype(np.int64)
     for lo, hi in _surges(size, window, surge):
         for c in np.unique(inside[lo:hi][inside[lo:hi] > 0]).tolist():
-            chosen[c] = int(size[inside == c].sum())
+            chosen[c] = int(total[c])
         free = np.flatnonzero(np.diff(np.concatenate([[0], (inside[lo:hi] == 0).astype(np.int8), [0]])))
         runs += [(lo + int(a), lo + int(b)) for a, b in zip(free[::2], free[1::2], strict=True)]
     if not runs and not chosen:
