@@ -19,15 +19,23 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 PLACE = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _power = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+KEPT = 1 << 22
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    x = np.full(n, base, np.uint64)
+    x[0] = 1
+    return np.multiply.accumulate(x)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse, modulo 2**64."""
+    """The first n powers of the base and of its inverse, modulo 2**64; a worker remembers `KEPT` of them at most."""
+    bases = BASE, pow(BASE, -1, 1 << 64)
+    if n > KEPT:
+        return _powers(bases[0], n), _powers(bases[1], n)
     if len(_power[0]) < n:
-        for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
-            x = np.full(n, base, np.uint64)
-            x[0] = 1
-            _power[k] = np.multiply.accumulate(x)
+        for k, base in enumerate(bases):
+            _power[k] = _powers(base, n)
     return _power[0][:n], _power[1][:n]
 
 
