@@ -7,7 +7,7 @@ per level. Small nodes compare their classes exhaustively. Independent trees rep
 small root nodes is missed with probability 0.25 ** trees.
 
 What keeps hot groups linear: every class is first compared with one class of each of its root nodes. The verified links
-give provisional components, and in further rounds those that are not in a node's main component yet are compared with
+give provisional components; with more `rounds`, those that are not in a node's main component yet are compared with
 other members of it. Only nodes that hold several components after that are looked at again, for pairs across components.
 A node that is still large at the last level is compared in blocks, all of it: no cap on partners. Candidates whose minwise
 values agree in fewer than `floor` of 184 places (5 standard deviations below 0.75) are put aside; all others are confirmed
@@ -110,15 +110,15 @@ def _in_nodes(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.Re
     for t in H.whole_groups(batches, "g"):
         group, base = t.column("g").to_numpy(), t.column("is_base").to_numpy(zero_copy_only=False)
         order = np.lexsort((~base, group))
-        name, root = (t.column(c).to_numpy()[order] for c in ("node", "root"))
+        name, root, tree, done = (t.column(c).to_numpy()[order] for c in ("node", "root", "tree", "done"))
         sketch = _places([x for x in np.array(t.column("sketch").to_pylist(), object)[order]])
         start = np.flatnonzero(np.diff(group[order], prepend=group[order[0]] - 1))
         bases = np.add.reduceat(base[order].astype(np.int64), start)
         asks = np.diff(np.append(start, len(name))) - bases
-        upto = np.cumsum(bases * asks)
+        total = np.cumsum(bases * asks)
         cut = 0
         while cut < len(start):  # groups with 200,000 pairs or so at a time
-            end = max(cut + 1, int(np.searchsorted(upto, (upto[cut - 1] if cut else 0) + 200_000)))
+            end = max(cut + 1, int(np.searchsorted(total, (total[cut - 1] if cut else 0) + 200_000)))
             n = (bases * asks)[cut:end]
             k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             first, per = np.repeat(start[cut:end], n), np.repeat(bases[cut:end], n)
@@ -126,7 +126,12 @@ def _in_nodes(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.Re
             other = root[b] != root[q]
             b, q = b[other], q[other]
             near = _share(sketch, sketch, b, q) >= floor
-            x, y = name[b[near]], name[q[near]]
+            b, q = b[near], q[near]
+            # a pair is given out by the first root node that compares it, else by the nodes below roots
+            k = np.arange(ROOTS)
+            before = (sketch[0][b] == sketch[0][q]) & (k < tree[b][:, None]) & ((done[b][:, None] >> k) & 1 == 1)
+            fresh = ~before.any(axis=1)
+            x, y = name[b[fresh]], name[q[fresh]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
             cut = end
 
@@ -141,7 +146,7 @@ def links(
     small: int = 48,
     block: int = 1024,
     floor: float = 0.59,
-    rounds: int = 3,
+    rounds: int = 1,
 ) -> DataFrame:
     """(a, b): confirmed links between shingle sets, enough to connect all that are connected. `rows` is sketches(docs)."""
     sets = staged(
@@ -150,7 +155,7 @@ def links(
     value = lambda k: F.substring(F.col("sketch"), F.lit(4) * k + F.lit(1), F.lit(4))
     short = lambda k: F.substring(F.col("sketch"), F.lit(2) * k + F.lit(4 * ROOTS + 1), F.lit(2))
     roots = sets.select("node", F.posexplode(F.array(*[value(F.lit(k)) for k in range(trees)])).alias("tree", "v"))
-    roots = roots.select("node", F.xxhash64("tree", "v").alias("path"))
+    roots = roots.select("node", "tree", F.xxhash64("tree", "v").alias("path"))
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
         ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         keys = sets.join(ids, "node").select("node", "t.*")
@@ -180,7 +185,7 @@ def links(
         seen = near if seen is None else seen.unionByName(near)
         first = linked if first is None else first.unionByName(linked)
         now = components(first)
-        state = roots.join(now, "node", "left").select("node", "path", F.coalesce("root", "node").alias("root"))
+        state = roots.join(now, "node", "left").select("node", "tree", "path", F.coalesce("root", "node").alias("root"))
     if first is None:
         return sets.sparkSession.createDataFrame([], "a long, b long")
 
@@ -194,6 +199,9 @@ def links(
         about = staged(about.where("r1 != r2").select("path", "n"), "about")
         mixed = staged(level.join(about, "path"), "mixed")
         end = F.lit(depth == levels)
+        if depth == 1:  # bit t: the root node in tree t compares this class
+            done = mixed.where((F.col("n") <= small) | end).groupBy("node").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("done"))
+            named = staged(named.join(done, "node", "left").withColumn("done", F.coalesce("done", F.lit(0).cast("long"))), "named")
         found.append(_compared(mixed.where((F.col("n") <= small) | end), named, block, floor))
         large = mixed.where((F.col("n") > small) & ~end)
         if depth == levels or large.isEmpty():
@@ -201,7 +209,8 @@ def links(
         on = large.select("node", "root", "path").join(sets.select("node", "sketch"), "node")
         pick = F.explode(F.array(*[F.pmod(F.xxhash64("path", F.lit(k)), F.lit(FUNCTIONS - ROOTS)) for k in range(2)])).alias("k")
         on = on.select("node", "root", "path", "sketch", pick)
-        level = on.select("node", "root", F.xxhash64("path", "k", short(F.col("k").cast("int"))).alias("path")).distinct()
+        path = F.xxhash64("path", "k", short(F.col("k").cast("int")))
+        level = on.select("node", F.lit(ROOTS).alias("tree"), "root", path.alias("path")).distinct()
     across = reduce(DataFrame.unionByName, found).distinct().join(seen, ["a", "b"], "left_anti")
     across = staged(across, "across")
     if across.isEmpty():
@@ -218,14 +227,14 @@ def _compared(level: DataFrame, named: DataFrame, block: int, floor: float) -> D
     most = most.groupBy("path").agg(F.max(F.struct("count", "root")).alias("main"), F.sum("count").alias("n"))
     blocks = lambda n: F.greatest(F.ceil(n / block), F.lit(1)).cast("int")
     most = most.select("path", F.col("main.root").alias("main"), blocks(F.col("n")).alias("bases"), blocks(F.col("n") - F.col("main.count")).alias("queries"))
-    rows = level.select("path", "node", "root").join(staged(most, "most"), "path")
+    rows = level.select("path", "node", "tree", "root").join(staged(most, "most"), "path")
     own = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    base = rows.select("path", "node", "root", own(F.col("bases")).alias("base"), every("queries").alias("query"), F.lit(True).alias("is_base"))
+    base = rows.select("path", "node", "tree", "root", own(F.col("bases")).alias("base"), every("queries").alias("query"), F.lit(True).alias("is_base"))
     asks = rows.where("root != main")
-    asks = asks.select("path", "node", "root", every("bases").alias("base"), own(F.col("queries")).alias("query"), F.lit(False).alias("is_base"))
-    dealt = base.unionByName(asks).join(named.select("node", "sketch"), "node")
-    dealt = dealt.select(F.xxhash64("path", "base", "query").alias("g"), "node", "root", "is_base", "sketch")
+    asks = asks.select("path", "node", "tree", "root", every("bases").alias("base"), own(F.col("queries")).alias("query"), F.lit(False).alias("is_base"))
+    dealt = base.unionByName(asks).join(named.select("node", "sketch", "done"), "node")
+    dealt = dealt.select(F.xxhash64("path", "base", "query").alias("g"), "node", "tree", "done", "root", "is_base", "sketch")
     dealt = dealt.repartition("g").sortWithinPartitions("g")
     return dealt.mapInArrow(lambda it: _in_nodes(it, floor), "a long, b long")
 
@@ -241,7 +250,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, **how) -
     rows = staged(sketches(docs, width), "sketches")
     joined = components(links(docs, rows, width, percent, **how))
     named = rows.drop("sketch").join(joined, "node", "left")
-    alone = F.struct(F.lit(False).alias("set"), F.coalesce("doc_id", F.lit(-1)).cast("string").alias("id"))
+    alone = F.struct(F.lit(False).alias("set"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id"))
     in_set = F.struct(F.lit(True).alias("set"), F.coalesce("root", "node").cast("string").alias("id"))
     named = staged(named.withColumn("_c", F.when(F.col("n_shingles") == 0, alone).otherwise(in_set)).drop("node", "root"), "named")
     least = staged(named.groupBy("_c").agg(F.min("doc_id").alias("component_id")), "least")
