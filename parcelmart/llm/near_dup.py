@@ -146,7 +146,7 @@ def links(
     small: int = 48,
     block: int = 1024,
     floor: float = 0.59,
-    rounds: int = 1,
+    rounds: int = 2,
 ) -> DataFrame:
     """(a, b): confirmed links between shingle sets, enough to connect all that are connected. `rows` is sketches(docs)."""
     sets = staged(
