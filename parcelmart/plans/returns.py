@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,9 @@ from parcelmart.functions.times import (
     parse_time,
 )
 from parcelmart.operators.collect import gather
+from parcelmart.operators.fold import Figure, First, Last, count, fold, merge, newest
 from parcelmart.operators.lookup import enrich
+from parcelmart.operators.publish import stage
 from parcelmart.operators.rows import current_rows, latest
 from parcelmart.operators.timeline import count_when, first_when, last_when
 from parcelmart.params import RunParams
@@ -103,51 +106,52 @@ def reverse_shipments(t: Tables) -> DataFrame:
     return enrich(rows, t["ds_sqls_orgs"], {"org_id": "third_party_provider_id"}, {"rev_vendor": "display_name"})
 
 
-def reschedules(t: Tables) -> DataFrame:
+def scan_states(t: Tables) -> tuple[DataFrame, dict[str, Figure]]:
+    """The vendor scan log, read once: states of all its figures per shipment and waybill."""
+    c = F.col
+    code, at = c("status_external"), c("date_time")
+    ready = c("status_internal") == "SHIPMENT_RTS"
+    figures: dict[str, Figure] = {
+        "ready": newest(at, {"awb": c("awb")}, ready),
+        "failure": newest(at, {"ndr_reason": c("comment")}, code == V.PICKUP_SCHEDULED),
+    }
+    for group, attempt in V.PICKUP_ATTEMPT_CODES.items():
+        figures[f"first_{group}"] = First(at, code == attempt)
+        figures[f"last_{group}"] = Last(at, code == attempt)
+        figures[f"attempts_{group}"] = count(code == attempt)
+    keys = ["shipment_group_id", "awb"]
+    return stage(fold(t["ds_sqls_vendor_shipment_details"], keys, figures, present=["shipment_group_id"])), figures
+
+
+def reschedules(t: Tables, states: DataFrame) -> DataFrame:
     """Distinct waybills a return was made ready under."""
     links = t["ds_sqls_return_items"].select("return_id", "return_shipment_id").distinct()
-    scans = t["ds_sqls_vendor_shipment_details"].filter(F.col("status_internal") == "SHIPMENT_RTS")
-    scans = scans.select("shipment_group_id", "awb").distinct()
+    scans = states.filter(F.col("ready").isNotNull()).select("shipment_group_id", "awb")
     rows = enrich(links, scans, {"shipment_group_id": "return_shipment_id"}, {"awb": "awb"}, how="inner")
     rows = rows.select("return_id", "return_shipment_id", "awb").distinct()
     return rows.groupBy("return_id").agg(F.count("awb").alias("reschedule_count"))
 
 
-def pickup_attempts(t: Tables) -> DataFrame:
+def pickup_attempts(t: Tables, states: DataFrame, figures: dict[str, Figure]) -> DataFrame:
     """First and last pickup attempt per reverse shipment, by the code of its vendor."""
-    c = F.col
-    scans = t["ds_sqls_vendor_shipment_details"].filter(c("status_external").isin(*V.PICKUP_ATTEMPT_CODES.values()))
-    scans = scans.groupBy("shipment_group_id").agg(
-        *[
-            pick(c("status_external") == code, c("date_time")).alias(f"{which}_{group}")
-            for group, code in V.PICKUP_ATTEMPT_CODES.items()
-            for which, pick in (("first", first_when), ("last", last_when))
-        ]
-    )
+    times = {n: f for n, f in figures.items() if n.startswith(("first_", "last_"))}
+    scans = merge(states.filter(F.coalesce(*times).isNotNull()), ["shipment_group_id"], times)
     # Only shipments of returns that are live count.
     live = current_rows(t["ds_sqls_returns"]).select("return_id").distinct()
     of_return = t["ds_sqls_return_items"].join(live, "return_id", "left_semi").select("return_shipment_id").distinct()
     return scans.join(of_return, scans["shipment_group_id"] == of_return["return_shipment_id"], "left_semi")
 
 
-def pickup_attempt_counts(t: Tables) -> DataFrame:
+def pickup_attempt_counts(t: Tables, states: DataFrame, figures: dict[str, Figure]) -> DataFrame:
     """Pickup attempts on the latest waybill of each reverse shipment, per shipment they were scanned for."""
     c = F.col
-    log = t["ds_sqls_vendor_shipment_details"]
-    ready = log.filter(c("status_internal") == "SHIPMENT_RTS").select("shipment_group_id", "date_time", "awb")
-    current = latest(ready, ["shipment_group_id"], "date_time").drop("date_time")
+    current = merge(states.filter(c("ready").isNotNull()), ["shipment_group_id"], {"ready": figures["ready"]}).select("shipment_group_id", "ready.awb")
     of_return = t["ds_sqls_return_items"].select("return_shipment_id").distinct()
     current = enrich(
         of_return, current, {"shipment_group_id": "return_shipment_id"}, {"current_awb": "awb"}, how="inner"
     )
-    scans = log.filter(c("status_external").isin(*V.PICKUP_ATTEMPT_CODES.values()) & c("shipment_group_id").isNotNull())
-    counted = scans.groupBy("awb", "shipment_group_id").agg(
-        *[
-            count_when(c("status_external") == code).alias(f"attempts_{group}")
-            for group, code in V.PICKUP_ATTEMPT_CODES.items()
-        ]
-    )
     names = [f"attempts_{group}" for group in V.PICKUP_ATTEMPT_CODES]
+    counted = states.filter(reduce(lambda a, b: a | b, [c(n) > 0 for n in names]))
     # Only the different counts under a waybill matter, so they are reduced to those before the join:
     # a placeholder waybill on very many shipments still is one row.
     per_awb = counted.groupBy("awb").agg(*[F.collect_set(F.when(c(n) > 0, c(n))).alias(n) for n in names])
@@ -158,11 +162,10 @@ def pickup_attempt_counts(t: Tables) -> DataFrame:
     return rows.drop("current_awb")
 
 
-def pickup_failures(t: Tables) -> DataFrame:
+def pickup_failures(states: DataFrame, figures: dict[str, Figure]) -> DataFrame:
     """Comment of the latest rescheduled pickup."""
-    scans = t["ds_sqls_vendor_shipment_details"].filter(F.col("status_external") == V.PICKUP_SCHEDULED)
-    scans = scans.select("shipment_group_id", "date_time", F.col("comment").alias("ndr_reason"))
-    return latest(scans, ["shipment_group_id"], "date_time").drop("date_time")
+    rows = merge(states.filter(F.col("failure").isNotNull()), ["shipment_group_id"], {"failure": figures["failure"]})
+    return rows.select("shipment_group_id", "failure.ndr_reason")
 
 
 def reverse_hub_tasks(t: Tables) -> DataFrame:
@@ -239,6 +242,7 @@ def returns(t: Tables, p: RunParams, shipments: DataFrame) -> DataFrame:
         c("reason").alias("return_reason"),
         "non_listed_items",
     )
+    states, figures = scan_states(t)
     # Keyed by return.
     by_return = {"return_id": "return_id"}
     items = t["ds_sqls_return_items"].select(
@@ -247,14 +251,14 @@ def returns(t: Tables, p: RunParams, shipments: DataFrame) -> DataFrame:
     actions = t["npr_data2"].select(
         "return_id", c("npr_date").alias("npr_action_date"), c("comment").alias("npr_action"), c("type").alias("npr_bucket_type")
     )
-    for part in (first_requests(t), request_log(t), refund_conversions(t), reschedules(t), actions, items):
+    for part in (first_requests(t), request_log(t), refund_conversions(t), reschedules(t, states), actions, items):
         rows = enrich(rows, part, by_return)
     # Keyed by the reverse shipment.
     for part, key in (
         (reverse_shipments(t), "shipment_group_id"),
-        (pickup_attempts(t), "shipment_group_id"),
-        (pickup_attempt_counts(t), "return_shipment_id"),
-        (pickup_failures(t), "shipment_group_id"),
+        (pickup_attempts(t, states, figures), "shipment_group_id"),
+        (pickup_attempt_counts(t, states, figures), "return_shipment_id"),
+        (pickup_failures(states, figures), "shipment_group_id"),
         (reverse_hub_tasks(t), "shipment_id"),
         (undelivered_reasons(t), "shipment_id"),
     ):

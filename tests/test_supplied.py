@@ -10,8 +10,6 @@ from tests.oracle import connect, differences
 from parcelmart.supplied import ORACLE, QUERIES
 
 FOLDER = os.environ.get("PARCELMART_SF_DIR", "/root/testdata/sf0.001")
-# Minutes of planning each; run with PARCELMART_ALL=1.
-LONG = ("mart_shipments", "mart_returns", "mart_support")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables not found")
 
@@ -27,8 +25,6 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_sql(spark, con, name):
-    if name in LONG and not os.environ.get("PARCELMART_ALL"):
-        pytest.skip("long")
     found, _ = differences(spark, QUERIES[name], ORACLE[name], FOLDER, con)
     assert not found, found
 
