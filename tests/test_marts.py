@@ -12,7 +12,7 @@ from parcelmart.params import RunParams
 from parcelmart.plans import legs as legs_plan
 from parcelmart.plans import shipment_logs as logs
 from parcelmart.plans.build import build
-from parcelmart.plans.returns import pickup_attempt_counts, scan_states, reschedules
+from parcelmart.plans.returns import pickup_attempt_counts, reschedules, scan_states
 from parcelmart.plans.stock import stock
 
 # 2018-09-20, 15:30 IST; the window starts on 2018-07-22.
@@ -537,7 +537,7 @@ def test_returns(marts):
 def test_return_counts(spark):
     t = tables(spark)
     assert values(pickup_attempt_counts(t, *scan_states(t)), "return_shipment_id", "attempts_delhivery", "attempts_ecom") == [("R1", 2, None)]
-    assert values(reschedules(t), "return_id", "reschedule_count") == [("RT1", 2)]
+    assert values(reschedules(t, scan_states(t)[0]), "return_id", "reschedule_count") == [("RT1", 2)]
 
 
 def test_support(marts):
