@@ -23,7 +23,7 @@ from parcelmart.functions.times import (
 )
 from parcelmart.operators.collect import gather
 from parcelmart.operators.fold import Figure, First, Last, count, fold, merge, newest
-from parcelmart.operators.lookup import enrich
+from parcelmart.operators.lookup import DEALT, deal, enrich
 from parcelmart.operators.publish import stage
 from parcelmart.operators.rows import current_rows, latest
 from parcelmart.operators.timeline import count_when, first_when, last_when
@@ -253,7 +253,8 @@ def returns(t: Tables, p: RunParams, shipments: DataFrame) -> DataFrame:
     )
     for part in (first_requests(t), request_log(t), refund_conversions(t), reschedules(t, states), actions, items):
         rows = enrich(rows, part, by_return)
-    # Keyed by the reverse shipment.
+    # Keyed by the reverse shipment, which returns without pickup have not: their rows are spread.
+    rows, dealt = deal(rows, ["rev_shipment_id"])
     for part, key in (
         (reverse_shipments(t), "shipment_group_id"),
         (pickup_attempts(t, states, figures), "shipment_group_id"),
@@ -262,9 +263,10 @@ def returns(t: Tables, p: RunParams, shipments: DataFrame) -> DataFrame:
         (reverse_hub_tasks(t), "shipment_id"),
         (undelivered_reasons(t), "shipment_id"),
     ):
-        rows = enrich(rows, part, {key: "rev_shipment_id"})
+        rows = enrich(rows, part, {key: "rev_shipment_id"}, dealt=dealt)
     live_tasks = current_rows(t["ds_sqls_hub_task"]).select("shipment_id", "hub_task_state").distinct()
-    rows = enrich(rows, live_tasks, {"shipment_id": "rev_shipment_id"}, {"rev_hub_status": "hub_task_state"})
+    rows = enrich(rows, live_tasks, {"shipment_id": "rev_shipment_id"}, {"rev_hub_status": "hub_task_state"}, dealt=dealt)
+    rows = rows.drop(DEALT)
     # Keyed by the forward shipment.
     of_forward = """
         fm_service seller_city seller_state seller_pincode seller_mobile_number seller_address buyer_city buyer_state
@@ -302,16 +304,17 @@ def returns(t: Tables, p: RunParams, shipments: DataFrame) -> DataFrame:
         "return_shipped_date": "first_shipped_date",
         "return_delivered_date": "del_date",
     }
-    rows = enrich(rows, shipments, {"seller_order_id": "repay_id"}, replaced, when=is_replacement)
-    rows = enrich(rows, order_states(t), {"order_id": "repay_id"}, when=is_replacement)
+    rows, dealt = deal(rows, ["repay_id"])
+    rows = enrich(rows, shipments, {"seller_order_id": "repay_id"}, replaced, when=is_replacement, dealt=dealt)
+    rows = enrich(rows, order_states(t), {"order_id": "repay_id"}, when=is_replacement, dealt=dealt)
     refunds = current_rows(t["ds_sqls_refund_line"])
     rows = enrich(
-        rows, refunds, {"refund_line_id": "repay_id"}, {"refund_amount": c("refund_amount_paise") / 100}, when=is_refund
+        rows, refunds, {"refund_line_id": "repay_id"}, {"refund_amount": c("refund_amount_paise") / 100}, when=is_refund, dealt=dealt
     )
     holds = t["ds_sqls_seller_order"].select(
         "order_id", *json_fields("extra_data", {"hold_reason": "$.hold_reason", "hold_till": "$.hold_till_millis"})
     ).distinct()
-    rows = enrich(rows, holds, {"order_id": "repay_id"})
+    rows = enrich(rows, holds, {"order_id": "repay_id"}, dealt=dealt).drop(DEALT)
     live = current_rows(t["ds_sqls_shipment_group"])
     rows = enrich(rows, live, {"shipment_group_id": "return_shipment_id"}, {"replacement_shipment_status": "shipment_status"})
     # Dimensions.
