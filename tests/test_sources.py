@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 from tests.conftest import values
 
-from parcelmart.operators.publish import publish, stage
+from parcelmart.operators.publish import Conflict, fingerprint, publish, published, run, stage, versions
 from parcelmart.sources.readers import Sources, schema_of
 from parcelmart.sources.schemas import SCHEMAS
 
 
-def test_schemas_parse():
+def test_schemas_parse(spark):
     assert len(SCHEMAS) == 75 and all(len(schema_of(t)) for t in SCHEMAS)
 
 
@@ -43,7 +43,7 @@ def test_publish_replaces_only_when_complete(spark, tmp_path, fmt):
     broken = df.withColumn("name", F.when(F.col("id") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("name")))
     with pytest.raises(Exception, match="boom"):
         publish(broken, target, fmt=fmt)
-    assert values(spark.read.format(fmt).load(target), "id") == [1, 2]
+    assert values(published(spark, target), "id") == [1, 2]
     assert values(publish(df.filter("id = 2"), target, fmt=fmt), "id") == [2]
 
 
@@ -58,3 +58,116 @@ def test_stage_uses_the_shared_folder(spark, shared_dir):
     assert stage(spark.range(3)).count() == 3
     (made,) = set(os.listdir(shared_dir)) - before
     assert made.startswith("stage-")
+
+
+def test_a_publish_stopped_anywhere_leaves_one_whole_version(spark, tmp_path, monkeypatch):
+    from parcelmart.operators import publish as P
+
+    target = str(tmp_path / "mart")
+    for step in ("DataFrameWriter.save", "create before", "create within", "create after", "retain"):
+        old, new = spark.range(3), spark.range(10, 14)
+        publish(old, target)
+        with monkeypatch.context() as m:
+
+            def stop(*_, **__):
+                raise KeyboardInterrupt(step)
+
+            create = P._Files.create
+            if step == "DataFrameWriter.save":
+                m.setattr(P, "_commit", stop)
+            elif step == "create before":
+                m.setattr(P._Files, "create", stop)
+            elif step == "create within":
+                m.setattr(P._Files, "create", lambda self, name, text: (create(self, name, text[:9]), stop()))
+            elif step == "create after":
+                m.setattr(P._Files, "create", lambda self, name, text: (create(self, name, text), stop()))
+            else:
+                m.setattr(P, "_retain", stop)
+            with pytest.raises(KeyboardInterrupt):
+                publish(new, target)
+        committed = step in ("create after", "retain")
+        assert values(published(spark, target), "id") == (list(range(10, 14)) if committed else [0, 1, 2]), step
+    publish(spark.range(1), target)
+    assert values(published(spark, target), "id") == [0]
+    assert len(os.listdir(f"{target}/_versions")) == 2
+
+
+def test_readers_keep_their_version_and_old_ones_go(spark, tmp_path):
+    target = str(tmp_path / "mart")
+    first = publish(spark.range(1), target)
+    second = publish(spark.range(2), target)
+    assert first.count() == 1 and second.count() == 2
+    publish(spark.range(3), target)
+    assert [v.number for v in versions(spark, target)] == [2, 3]
+    assert published(spark, target).count() == 3 and published(spark, target, 2).count() == 2
+    with pytest.raises(FileNotFoundError):
+        published(spark, target, 1)
+    with pytest.raises(FileNotFoundError):
+        published(spark, str(tmp_path / "none"))
+
+
+def test_second_writer_is_detected(spark, tmp_path, monkeypatch):
+    from parcelmart.operators import publish as P
+
+    target, commit = str(tmp_path / "mart"), P._commit
+    publish(spark.range(1), target)
+
+    def overtaken(files, base, version):
+        monkeypatch.setattr(P, "_commit", commit)
+        publish(spark.range(2), target)
+        commit(files, base, version)
+
+    monkeypatch.setattr(P, "_commit", overtaken)
+    with pytest.raises(Conflict):
+        publish(spark.range(3), target)
+    assert published(spark, target).count() == 2
+    assert len(os.listdir(f"{target}/_versions")) == 2
+
+
+def test_publish_points_a_view(spark, tmp_path):
+    target = str(tmp_path / "mart")
+    for n in (1, 2):
+        publish(spark.range(n), target, view="mart_of_test")
+        assert spark.table("mart_of_test").count() == n
+    spark.sql("DROP VIEW mart_of_test")
+
+
+def test_run_reuses_whole_stages_and_leaves_nothing(spark, tmp_path, shared_dir):
+    source = str(tmp_path / "source")
+    spark.range(100).write.parquet(source)
+
+    def steps(fail):
+        read = spark.read.parquet(source)
+        a = stage(read.where("id % 2 = 0"))
+        made = os.listdir(shared_dir / "run-day1")
+        b = stage(a.where("id > 10").withColumn("x", F.col("id") + 1))
+        if fail:
+            raise RuntimeError("lost")
+        return a, b, made
+
+    before = set(os.listdir(shared_dir))
+    with pytest.raises(RuntimeError), run(spark, "day1"):
+        steps(True)
+    folder = shared_dir / "run-day1"
+    held = {n: os.stat(folder / n / "_SUCCESS").st_mtime_ns for n in os.listdir(folder)}
+    assert len(held) == 2
+    with run(spark, "day1"):
+        a, b, made = steps(False)
+        assert sorted(made) == sorted(held)
+        assert {n: os.stat(folder / n / "_SUCCESS").st_mtime_ns for n in os.listdir(folder)} == held
+        assert a.count() == 50 and b.count() == 44
+    assert set(os.listdir(shared_dir)) == before
+    with pytest.raises(RuntimeError), run(spark):
+        stage(spark.range(3))
+        raise RuntimeError
+    assert set(os.listdir(shared_dir)) == before
+
+
+def test_fingerprints(spark, tmp_path):
+    for name in "ab":
+        spark.range(5).write.parquet(str(tmp_path / name))
+    read = lambda n: spark.read.parquet(str(tmp_path / n))
+    assert fingerprint(read("a").where("id > 1")) == fingerprint(read("a").where("id > 1"))
+    prints = [fingerprint(x) for x in (read("a"), read("b"), read("a").where("id > 1"), read("a").where("id > 2"), read("a").withColumnRenamed("id", "x"))]
+    assert None not in prints and len(set(prints)) == 5
+    assert fingerprint(spark.range(3)) is None and fingerprint(spark.createDataFrame([(1,)], "id int")) is None
