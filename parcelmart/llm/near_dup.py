@@ -136,7 +136,7 @@ def _in_nodes(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.Re
             cut = end
 
 
-def links(
+def linked_sets(
     docs: DataFrame,
     rows: DataFrame,
     width: int = 5,
@@ -148,7 +148,7 @@ def links(
     floor: float = 0.59,
     rounds: int = 2,
 ) -> DataFrame:
-    """(a, b): confirmed links between shingle sets, enough to connect all that are connected. `rows` is sketches(docs)."""
+    """(node, root): the components of the confirmed links between shingle sets; sets without any may be missing. `rows` is sketches(docs)."""
     sets = staged(
         rows.where("n_shingles > 0").groupBy("node").agg(F.first("sketch").alias("sketch"), F.min(F.struct("_t1", "_t2", F.coalesce("doc_id", F.lit(-1)).alias("_d"))).alias("t")), "sets"
     )
@@ -166,14 +166,15 @@ def links(
         return staged(both.mapInArrow(lambda it: _confirmed(it, width, percent), "a long, b long"), name)
 
     side = lambda s: sets.select(F.col("node").alias(s), F.col("sketch").alias(f"sketch_{s}"))
-    seen = first = None
+    seen = now = None
     state = roots.withColumn("root", F.col("node"))
     for k in range(rounds):
         # one member per node of its tree: any at first, later one of the component that has most members there
         size = state.groupBy("path", "root").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(k)), "node")).alias("m"))
         main = size.groupBy("path").agg(F.max(F.struct("n", "root", "m")).alias("x"), F.count("*").alias("roots")).where("roots > 1")
         main = staged(main.select("path", F.col("x.root").alias("main"), F.col("x.m.node").alias("b")), "main")
-        pairs = state.join(main, "path").where("root != main")
+        # a class meets a component once, however many of its nodes that is the main one of
+        pairs = state.join(main, "path").where("root != main").groupBy("node", "main").agg(F.min("b").alias("b"))
         pairs = pairs.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
@@ -181,13 +182,11 @@ def links(
         near = staged(near.mapInArrow(lambda it: _agreeing(it, floor), "a long, b long"), "near")
         if near.isEmpty():
             break
-        linked = confirm(near, "star_links")
         seen = near if seen is None else seen.unionByName(near)
-        first = linked if first is None else first.unionByName(linked)
-        now = components(first)
+        now = components(confirm(near, "star_links"), now)
         state = roots.join(now, "node", "left").select("node", "tree", "path", F.coalesce("root", "node").alias("root"))
-    if first is None:
-        return sets.sparkSession.createDataFrame([], "a long, b long")
+    if now is None:
+        return sets.sparkSession.createDataFrame([], "node long, root long")
 
     # What stars did not connect: nodes that hold more than one component.
     named = sets.select("node", "sketch").join(now, "node", "left")
@@ -214,8 +213,8 @@ def links(
     across = reduce(DataFrame.unionByName, found).distinct().join(seen, ["a", "b"], "left_anti")
     across = staged(across, "across")
     if across.isEmpty():
-        return first
-    return first.unionByName(confirm(across, "node_links"))
+        return now
+    return components(confirm(across, "node_links"), now)
 
 
 def _compared(level: DataFrame, named: DataFrame, block: int, floor: float) -> DataFrame:
@@ -248,7 +247,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, **how) -
     _c names the component of a row with shingles; component_id is the same in two components that share a doc_id.
     """
     rows = staged(sketches(docs, width), "sketches")
-    joined = components(links(docs, rows, width, percent, **how))
+    joined = linked_sets(docs, rows, width, percent, **how)
     named = rows.drop("sketch").join(joined, "node", "left")
     alone = F.struct(F.lit(False).alias("set"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id"))
     in_set = F.struct(F.lit(True).alias("set"), F.coalesce("root", "node").cast("string").alias("id"))

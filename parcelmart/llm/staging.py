@@ -58,28 +58,42 @@ def text_key(text) -> list:
     return [F.xxhash64(whole).alias("_t1"), F.xxhash64(whole, F.lit(17)).alias("_t2")]
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(node, root) of every node of the undirected edges (a, b): root is the smallest node reachable.
 
-    Large-star and small-star rounds. Every round is a grouped minimum, joined back by node: the minima are a table with
-    one row per node, so that adaptive execution can split a hub's rows over tasks. Rounds end when the edges no longer
-    change. Nothing but two numbers per round reaches the driver.
+    Contraction: every node goes to the least of itself and its neighbours, edges follow their ends, and those within one node
+    go; so the table of edges shrinks with every round, by a constant share on average where names are hashes. A star takes two
+    rounds. The smallest node of a component never moves, so it is what is left; the tables of moves, read backwards, give
+    every node its root. Rounds are grouped minima and joins by node, which adaptive execution can split for a hub. `known` has
+    the components of earlier edges: only what the new edges join is looked at then. Nothing reaches the driver.
     """
-    links = staged(
-        edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
-    )
-    state = None
-    while True:
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = staged(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "low")
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a != b").distinct()
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
-        links = staged(small.unionByName(down.select("a", F.col("m").alias("b"))).distinct(), "links")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    root = links.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
-    return staged(root.unionByName(root.select(F.col("root").alias("node"), "root").distinct()), "roots")
+    two = edges.select("a", "b").where("a != b")
+    if known is not None:
+        two = _moved(two, known.withColumnsRenamed({"node": "a", "root": "m"}))
+    left = staged(two.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
+    moves: list[DataFrame] = []
+    while not left.isEmpty():
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        moves.append(staged(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "moves"))
+        after = _moved(left, moves[-1])
+        after = staged(after.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
+        discard(left)
+        left = after
+    roots = left.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    for move in reversed(moves):
+        further = roots.withColumnsRenamed({"node": "m"})
+        roots = move.join(further, "m", "left").select(F.col("a").alias("node"), F.coalesce("root", "m").alias("root"))
+    if known is not None:
+        later = staged(roots, "roots")
+        further = later.select(F.col("node").alias("root"), F.col("root").alias("_last"))
+        first = known.join(further, "root", "left").select("node", F.coalesce("_last", "root").alias("root"))
+        roots = first.unionByName(later.join(known.select("node"), "node", "left_anti"))
+    return staged(roots, "roots")
+
+
+def _moved(edges: DataFrame, moves: DataFrame) -> DataFrame:
+    """Edges (a, b) with both ends where moves (a, m) puts them."""
+    for end in ("a", "b"):
+        to = moves.select(F.col("a").alias(end), F.col("m").alias("_to"))
+        edges = edges.join(to, end, "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
+    return edges
