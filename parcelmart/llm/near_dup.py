@@ -91,18 +91,18 @@ def _agreeing(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.Re
             yield x.filter(pa.array(near)).select(["a", "b"])
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in H.pieces(whole, "text_a"):
-            sets = []
-            for c in ("text_a", "text_b"):
-                values, begin = H.shingles(*H.flat(batch.column(c)), width)
-                sets.append([np.unique(values[i:j]) for i, j in zip(begin[:-1], begin[1:], strict=True)])
-            keep = []
-            for a, b in zip(*sets, strict=True):
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.filter(pa.array(keep)).select(["a", "b"])
+def _confirmed(pairs: pa.Table, texts: pa.Table, width: int, percent: int) -> pa.Table:
+    """The pairs (a, b) whose shingle sets are near enough; texts has (node, text) of them all."""
+    sets: dict[int, np.ndarray] = {}
+    for whole in texts.to_batches():
+        for batch in H.pieces(whole, "text"):
+            values, begin = H.shingles(*H.flat(batch.column("text")), width)
+            sets |= {n: np.unique(values[i:j]) for n, i, j in zip(batch.column("node").to_pylist(), begin[:-1], begin[1:], strict=True)}
+    keep = []
+    for x, y in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+        both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+        keep.append(100 * both >= percent * (len(sets[x]) + len(sets[y]) - both))
+    return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _in_nodes(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.RecordBatch]:
@@ -147,11 +147,13 @@ def linked_sets(
     block: int = 1024,
     floor: float = 0.59,
     rounds: int = 2,
+    held: int = 1500,
 ) -> DataFrame:
     """(node, root): the components of the confirmed links between shingle sets; sets without any may be missing. `rows` is sketches(docs)."""
     sets = staged(
         rows.where("n_shingles > 0").groupBy("node").agg(F.first("sketch").alias("sketch"), F.min(F.struct("_t1", "_t2", F.coalesce("doc_id", F.lit(-1)).alias("_d"))).alias("t")), "sets"
     )
+    blocks = max(1, sets.count() // held)
     value = lambda k: F.substring(F.col("sketch"), F.lit(4) * k + F.lit(1), F.lit(4))
     short = lambda k: F.substring(F.col("sketch"), F.lit(2) * k + F.lit(4 * ROOTS + 1), F.lit(2))
     roots = sets.select("node", F.posexplode(F.array(*[value(F.lit(k)) for k in range(trees)])).alias("tree", "v"))
@@ -161,9 +163,13 @@ def linked_sets(
         keys = sets.join(ids, "node").select("node", "t.*")
         texts = docs.select("text", F.coalesce("doc_id", F.lit(-1)).alias("_d"), *text_key(F.col("text")))
         texts = staged(texts.join(keys, ["_t1", "_t2", "_d"]).groupBy("node").agg(F.first("text").alias("text")), "texts")
-        one = lambda s: texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
-        both = pairs.join(one("b"), "b").join(one("a"), "a").select("a", "b", "text_a", "text_b")
-        return staged(both.mapInArrow(lambda it: _confirmed(it, width, percent), "a long, b long"), name)
+        # pairs are dealt out by blocks of sets on either side, and a text goes once to each block that needs it
+        block_of = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+        dealt = staged(pairs.select("a", "b", F.xxhash64(block_of("a"), block_of("b")).alias("g")), "dealt")
+        need = dealt.select(F.col("a").alias("node"), "g").unionByName(dealt.select(F.col("b").alias("node"), "g")).distinct()
+        sent = need.join(texts, "node").select(F.col("g").alias("h"), "node", "text")
+        done = dealt.groupBy("g").cogroup(sent.groupBy("h")).applyInArrow(lambda x, y: _confirmed(x, y, width, percent), "a long, b long")
+        return staged(done, name)
 
     side = lambda s: sets.select(F.col("node").alias(s), F.col("sketch").alias(f"sketch_{s}"))
     seen = now = None

@@ -66,7 +66,7 @@ def shingle_set(text):
 
 def test_near_duplicates(spark):
     texts = corpus()
-    got = {r.doc_id: r for r in near_duplicates(documents(spark, texts), small=4, block=4, levels=3).collect()}
+    got = {r.doc_id: r for r in near_duplicates(documents(spark, texts), small=4, block=4, levels=3, held=5).collect()}
     sets = [shingle_set(t) for t in texts]
     root = list(range(len(texts)))
     for _ in texts:
