@@ -1,0 +1,177 @@
+"""Bootstrapped identifiers against a plain version with strings and loops, and what each round may find."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from parcelmart.llm.personal_data import KINDS, _contexts, base_spans, candidate_spans, find, phrase_names
+
+DOCS = "doc_id long, text string, k int, v string, places string"
+
+
+def table(spark, texts):
+    return spark.createDataFrame([(i, t, 1, "x", "y") for i, t in enumerate(texts)], DOCS)
+
+
+def words_around(text, start, end):
+    """Phrases (left, nearest word last) and (right) around a place, as tuples of words."""
+    line = text.rfind("\n", 0, start) + 1
+    stop = len(text) if (cut := text.find("\n", start)) < 0 else cut
+    tokens = [(m.start() + line, m.end() + line, m[0].lower()) for m in re.finditer(r"\S+", text[line:stop])]
+    before = [w for _, e, w in tokens if e <= start]
+    after = [w for s, _, w in tokens if s >= end]
+    return [(0, tuple(before[-n:])) for n in (1, 2, 3) if n <= len(before)] + [(1, tuple(after[:n])) for n in (1, 2, 3) if n <= len(after)]
+
+
+def plainly(texts, support=3, confident=0.5, rounds=3):
+    """Spans per text by the definition of `find`."""
+    edges, total, seeds, where = Counter(), Counter(), {}, defaultdict(list)
+    for d, text in enumerate(t or "" for t in texts):
+        for line in text.lower().split("\n"):
+            w = line.split()
+            total.update(tuple(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1))
+        base = base_spans(text)
+        for k, s, e in [*base, *((-1, s, e) for s, e in candidate_spans(text, base))]:
+            v = " ".join(text[s:e].split())
+            edges.update((c, v) for c in words_around(text, s, e))
+            where[v].append((d, k, s, e))
+            if k >= 0:
+                seeds[v] = min(k, seeds.get(v, 9))
+    known = {v: (k, 1.0) for v, k in seeds.items()}
+    for _ in range(rounds):
+        gain, kinds = defaultdict(float), Counter()
+        for (c, v), m in edges.items():
+            if v in known:
+                gain[known[v][0], c] += m * known[v][1]
+                kinds[known[v][0], c] += 1
+        p = {x: round(min(1.0, g / total[x[1][1]]), 6) for x, g in gain.items() if kinds[x] >= support}
+        best = defaultdict(lambda: [0.0, 0.0])
+        for (c, v), _m in edges.items():
+            for k in range(4):
+                if (k, c) in p:
+                    best[v, k][c[0]] = max(best[v, k][c[0]], p[k, c])
+        after = dict(known)
+        for v in {v for v, _ in best} - set(seeds):
+            q, k = max((round(1 - (1 - best[v, k][0]) * (1 - best[v, k][1]), 6), -k) for k in range(4) if (v, k) in best)
+            after.pop(v, None)
+            if q >= confident:
+                after[v] = (-k, q)
+        if len(after) == len(known):
+            known = after
+            break
+        known = after
+    out = [set() for _ in texts]
+    for v, places in where.items():
+        for d, k, s, e in places:
+            if k >= 0 or v in known:
+                out[d].add((k if k >= 0 else known[v][0], s, e))
+    return [",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in sorted(x)) for x in out]
+
+
+def spans(spark, texts, **options):
+    return [r.spans for r in find(table(spark, texts), **options).orderBy("doc_id").collect()]
+
+
+def corpus(seed=3):
+    rnd = random.Random(seed)
+    leads = ["reach me at:", "tel:", "my line is", "card no", "see page", "host", "on the"]
+    tails = ["please", "thank you all", "", "\nnext line here", "or so"]
+    texts = []
+    for n in range(250):
+        parts = []
+        for _ in range(rnd.randrange(1, 4)):
+            value = rnd.choice([
+                f"u{rnd.randrange(30)}@mail.org", f"u{rnd.randrange(30)}[at]mail", f"+49 30 {rnd.randrange(1000, 1040)} 77", f"(555) 123-40{rnd.randrange(10, 40)}",
+                f"10.0.0.{rnd.randrange(300)}", f"DE{rnd.randrange(10, 30)} 3704 0044 0532", f"{rnd.randrange(50)}", "some plain words", f"room{rnd.randrange(100000, 100030)}.",
+            ])
+            parts.append(f"{rnd.choice(leads)} {value} {rnd.choice(tails)}")
+        texts.append(" ".join(parts))
+    return [*texts, None, "", "   ", "tel: tel: tel: a a a 999999 a a a", texts[0], texts[0]]
+
+
+def test_equal_to_the_plain_version(spark):
+    texts = corpus()
+    expected = plainly(texts)
+    assert spans(spark, texts) == expected
+    assert expected != [",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in base_spans(t or "")) for t in texts]
+    strict = plainly(texts, support=2, confident=0.8, rounds=1)
+    assert spans(spark, texts, support=2, confident=0.8, rounds=1) == strict != expected
+
+
+def test_contexts_of_found_identifiers_find_further_ones(spark):
+    """The rules know the first context; its new identifiers stand in a second one, and only those there tell of the third."""
+    texts = [f"reach me at: someone{k}@host{k}.org soon" for k in range(9)]
+    texts += [f"reach me at: other{k}[at]host soon" for k in range(4)]
+    texts += [f"my line is other{k}[at]host ok" for k in range(4)] + ["my line is third0[at]host ok"]
+    texts += [f"my line is third{k}[at]host ok" for k in range(1, 4)]
+    texts += [f"write to: third{k}[at]host !" for k in range(4)] + ["write to: fourth0[at]host !"]
+    got = spans(spark, texts)
+    for text, found in zip(texts[9:], got[9:], strict=True):
+        start = re.search(r"\S+\[at\]", text).start()
+        assert found == f"email:{start}:{text.index('host', start) + 4}", text
+    assert spans(spark, texts, rounds=1)[-1] == ""
+
+
+def test_numbers_of_several_words(spark):
+    texts = [f"tel: +1 555 123 4{k:03}" for k in range(12)] + ["tel: (555) 123-4000", "tel: 555 123 4000, bye", "year 2024 is no number"]
+    assert spans(spark, texts)[12:] == ["phone:5:19", "phone:5:17", ""]
+
+
+@pytest.mark.parametrize(
+    ("text", "held"),
+    [
+        ("", []), ("a b c", []), ("12345", []), ("123456", ["123456"]), ("(555) 123-4567.", ["(555) 123-4567"]), ("<a1b2c3d>, 55", ["a1b2c3d"]),
+        ("1234567\n7654321", ["1234567", "7654321"]), ("111 222, 333 444", ["111 222", "333 444"]), ("id12 a@b.org 345678 9", ["345678 9"]), ("x" * 300 + "1", ["x" * 300 + "1"]),
+    ],
+)
+def test_candidates(text, held):
+    assert [text[s:e] for s, e in candidate_spans(text, base_spans(text))] == held
+
+
+def test_phrases_have_one_name_at_both_ends():
+    rnd = random.Random(1)
+    text = "".join(rnd.choice(["ab", "C", "ΣΣ", " ", " ", "\n", "\t"]) for _ in range(3000))
+    counted = Counter(np.concatenate(list(phrase_names(text))).tolist())
+    expected, seen = Counter(), set()
+    for m in re.finditer(r"\S+", text):
+        left, right = _contexts(text, m.end(), m.end()), _contexts(text, *m.span())
+        line = text[text.rfind("\n", 0, m.start()) + 1 : m.start()].split()
+        assert len(right[0]) == min(3, len(line)) and not set(left[0]) & set(right[1][1:])
+        seen |= set(right[0]) | set(right[1])
+    assert seen <= set(counted)
+    words = [line.split() for line in text.lower().split("\n")]
+    expected = Counter(w for line in words for w in line)
+    assert sorted(expected.values()) == sorted(n for name, n in Counter(next(iter(phrase_names(text))).tolist()).items())
+
+
+def test_parts_of_long_texts_agree(monkeypatch):
+    import parcelmart.llm.personal_data as own
+
+    text = " ".join(f"w{k % 7}" + "\n" * (k % 11 == 0) for k in range(500))
+    whole = Counter(np.concatenate(list(phrase_names(text))).tolist())
+    runs = own._word_runs
+    monkeypatch.setattr(own, "_word_runs", lambda t: runs(t, 40))
+    assert Counter(np.concatenate(list(phrase_names(text))).tolist()) == whole
+
+
+def test_empty_tables_and_tables_without_seeds(spark):
+    assert find(table(spark, ["x"]).limit(0)).count() == 0
+    assert spans(spark, ["tel: 555 123 4000", None]) == ["", ""]
+
+
+def test_rows_without_id_and_repeated_rows(spark):
+    texts = [f"tel: +1 555 123 4{k:03}" for k in range(8)]
+    rows = [(i, t, 1, "x", "y") for i, t in enumerate(texts)] + [(None, "tel: 555 123 4000", 1, "x", "y")] * 2 + [(-1, "no", 1, "x", "y")]
+    got = find(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(r.spans for r in got if r.doc_id is None) == ["phone:5:17"] * 2 and len(got) == len(rows)
+
+
+def test_a_very_long_text(spark):
+    texts = [f"tel: +1 555 123 4{k:03}" for k in range(8)] + ["word " * 400_000 + "\ntel: 555 123 4000 " + "z" * 2_000_000]
+    start = 5 * 400_000 + 6
+    assert spans(spark, texts)[-1] == f"phone:{start}:{start + 12}"
