@@ -12,6 +12,14 @@ REQUIRED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split hot join keys even when the split costs one more exchange later in the plan.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Bloom filters in front of the shuffle of a log that is semi-joined to a run's ids: 8 MB at any number of ids, made for
+    # 8 million. The side they are built from is a narrow table of ids, which may be larger than the default of 10 MB.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4GB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": str(1 << 26),
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(1 << 26),
 }
 
 
