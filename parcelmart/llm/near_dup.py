@@ -17,7 +17,6 @@ on the full sets. Classes are named by 64 bits: two of n sets share a name with
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelmart.llm import bytehash as H
-from parcelmart.llm.staging import components, staged, text_key
+from parcelmart.llm.staging import components, discard, staged, text_key
 
 ROOTS = 24  # functions kept with 32 bits, for the roots of trees
 FUNCTIONS = ROOTS + 160  # the others are kept with 16 bits
@@ -88,29 +87,52 @@ def _agreeing(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.Re
         if x.num_rows:
             a, b = (_places(x.column(c).to_pylist()) for c in ("sketch_a", "sketch_b"))
             near = _share(a, b, slice(None), slice(None)) >= floor
-            yield x.filter(pa.array(near)).select(["a", "b"])
+            yield x.filter(pa.array(near)).select(["g", "a", "b"])
 
 
-def _confirmed(pairs: pa.Table, texts: pa.Table, width: int, percent: int) -> pa.Table:
-    """The pairs (a, b) whose shingle sets are near enough; texts has (node, text) of them all."""
+def _confirmed(asked: pa.Table, texts: pa.Table, width: int, percent: int) -> pa.Table:
+    """Links (a, b) between near enough shingle sets, as few as connect what all of them connect.
+
+    asked: (a, ra, b, rb) of candidates, lists b and rb per row; ra and rb name components known before. texts: (node, text).
+    """
     sets: dict[int, np.ndarray] = {}
     for whole in texts.to_batches():
         for batch in H.pieces(whole, "text"):
             values, begin = H.shingles(*H.flat(batch.column("text")), width)
             sets |= {n: np.unique(values[i:j]) for n, i, j in zip(batch.column("node").to_pylist(), begin[:-1], begin[1:], strict=True)}
-    keep = []
-    for x, y in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
-        both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-        keep.append(100 * both >= percent * (len(sets[x]) + len(sets[y]) - both))
-    return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in up:
+            up[x] = x = up.get(up[x], up[x])
+        return x
 
+    found: list[tuple[int, int]] = []
+    asked = asked.sort_by("a")
+    for a, ra, b, rb in zip(*(asked.column(c).to_pylist() for c in ("a", "ra", "b", "rb")), strict=True):
+        own, todo = sets[a], [(y, r) for y, r in dict(zip(b, rb, strict=True)).items() if top(r) != top(ra)]
+        for k in range(0, len(todo), 256):
+            part = [(y, r) for y, r in todo[k : k + 256] if top(r) != top(ra)]
+            if part:
+                size = np.array([len(sets[y]) for y, _ in part])
+                every = np.concatenate([sets[y] for y, _ in part])
+                at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+                both = np.add.reduceat((own[at] == every).astype(np.int64), np.cumsum(size) - size)
+                for i in np.flatnonzero(100 * both >= percent * (len(own) + size - both)):
+                    x, y = top(ra), top(part[i][1])
+                    if x != y:
+                        up[max(x, y)] = min(x, y)
+                        found.append((a, part[i][0]))
+    return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-def _in_nodes(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of a base and a query row of one group, in different components, whose sketches agree often enough."""
+
+def _in_nodes(batches: Iterator[pa.RecordBatch], floor: float, blocks: int) -> Iterator[pa.RecordBatch]:
+    """Per query row and block of sets, the base rows of its group in other components whose sketches agree often enough."""
     for t in H.whole_groups(batches, "g"):
         group, base = t.column("g").to_numpy(), t.column("is_base").to_numpy(zero_copy_only=False)
         order = np.lexsort((~base, group))
-        name, root, tree, done = (t.column(c).to_numpy()[order] for c in ("node", "root", "tree", "done"))
+        name, root, tree, done, home = (t.column(c).to_numpy()[order] for c in ("node", "root", "tree", "done", "home"))
+        twice = t.column("twice").to_numpy(zero_copy_only=False)[order]
         sketch = _places([x for x in np.array(t.column("sketch").to_pylist(), object)[order]])
         start = np.flatnonzero(np.diff(group[order], prepend=group[order[0]] - 1))
         bases = np.add.reduceat(base[order].astype(np.int64), start)
@@ -123,7 +145,7 @@ def _in_nodes(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.Re
             k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             first, per = np.repeat(start[cut:end], n), np.repeat(bases[cut:end], n)
             b, q = first + k % per, first + per + k // per
-            other = root[b] != root[q]
+            other = (root[b] != root[q]) & (~twice[b] | (name[q] > name[b]))  # a pair of two query rows is met both ways round
             b, q = b[other], q[other]
             near = _share(sketch, sketch, b, q) >= floor
             b, q = b[near], q[near]
@@ -131,8 +153,14 @@ def _in_nodes(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.Re
             k = np.arange(ROOTS)
             before = (sketch[0][b] == sketch[0][q]) & (k < tree[b][:, None]) & ((done[b][:, None] >> k) & 1 == 1)
             fresh = ~before.any(axis=1)
-            x, y = name[b[fresh]], name[q[fresh]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+            b, q = b[fresh], q[fresh]
+            g = home[q] * blocks + home[b]
+            by = np.lexsort((g, q))
+            b, q, g = b[by], q[by], g[by]
+            first = np.flatnonzero((np.diff(q, prepend=-1) != 0) | (np.diff(g, prepend=-1) != 0))
+            ends = pa.array(np.append(first, len(q)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x[b])) for x in (name, root)]
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (g[first], name[q[first]], root[q[first]])), *lists], ["g", "a", "ra", "b", "rb"])
             cut = end
 
 
@@ -143,7 +171,7 @@ def linked_sets(
     percent: int = 75,
     trees: int = 20,
     levels: int = 6,
-    small: int = 48,
+    small: int = 4096,
     block: int = 1024,
     floor: float = 0.59,
     rounds: int = 2,
@@ -154,24 +182,30 @@ def linked_sets(
         rows.where("n_shingles > 0").groupBy("node").agg(F.first("sketch").alias("sketch"), F.min(F.struct("_t1", "_t2", F.coalesce("doc_id", F.lit(-1)).alias("_d"))).alias("t")), "sets"
     )
     blocks = max(1, sets.count() // held)
+    # sets are dealt to blocks of about `held` by one minwise value, as near ones mostly share it; frequent values are split
+    often = staged(sets.groupBy(F.substring("sketch", 1, 4).alias("v")).count().where(F.col("count") > held), "often")
+    part = F.coalesce(F.pmod(F.xxhash64("node"), F.ceil(F.col("count") / held)), F.lit(0))
+    homes = sets.withColumn("v", F.substring("sketch", 1, 4)).join(often, "v", "left")
+    homes = homes.select("node", "sketch", F.pmod(F.xxhash64("v", part), F.lit(blocks)).alias("home"))
     value = lambda k: F.substring(F.col("sketch"), F.lit(4) * k + F.lit(1), F.lit(4))
     short = lambda k: F.substring(F.col("sketch"), F.lit(2) * k + F.lit(4 * ROOTS + 1), F.lit(2))
     roots = sets.select("node", F.posexplode(F.array(*[value(F.lit(k)) for k in range(trees)])).alias("tree", "v"))
     roots = roots.select("node", "tree", F.xxhash64("tree", "v").alias("path"))
-    def confirm(pairs: DataFrame, name: str) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        keys = sets.join(ids, "node").select("node", "t.*")
+
+    def confirm(asked: DataFrame, name: str) -> DataFrame:
+        # a text goes once to each pair of blocks that needs it
+        need = asked.groupBy("g").agg(F.array_union(F.collect_set("a"), F.array_distinct(F.flatten(F.collect_list("b")))).alias("x"))
+        need = staged(need.select("g", F.explode("x").alias("node")), "need")
+        keys = sets.join(need.select("node").distinct(), "node").select("node", "t.*")
         texts = docs.select("text", F.coalesce("doc_id", F.lit(-1)).alias("_d"), *text_key(F.col("text")))
         texts = staged(texts.join(keys, ["_t1", "_t2", "_d"]).groupBy("node").agg(F.first("text").alias("text")), "texts")
-        # pairs are dealt out by blocks of sets on either side, and a text goes once to each block that needs it
-        block_of = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
-        dealt = staged(pairs.select("a", "b", F.xxhash64(block_of("a"), block_of("b")).alias("g")), "dealt")
-        need = dealt.select(F.col("a").alias("node"), "g").unionByName(dealt.select(F.col("b").alias("node"), "g")).distinct()
         sent = need.join(texts, "node").select(F.col("g").alias("h"), "node", "text")
-        done = dealt.groupBy("g").cogroup(sent.groupBy("h")).applyInArrow(lambda x, y: _confirmed(x, y, width, percent), "a long, b long")
-        return staged(done, name)
+        done = asked.groupBy("g").cogroup(sent.groupBy("h")).applyInArrow(lambda x, y: _confirmed(x, y, width, percent), "a long, b long")
+        done = staged(done, name)
+        discard(need, texts)
+        return done
 
-    side = lambda s: sets.select(F.col("node").alias(s), F.col("sketch").alias(f"sketch_{s}"))
+    side = lambda s: homes.select(F.col("node").alias(s), F.col("sketch").alias(f"sketch_{s}"), F.col("home").alias(f"home_{s}"))
     seen = now = None
     state = roots.withColumn("root", F.col("node"))
     for k in range(rounds):
@@ -183,65 +217,67 @@ def linked_sets(
         pairs = state.join(main, "path").where("root != main").groupBy("node", "main").agg(F.min("b").alias("b"))
         pairs = pairs.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
         if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        near = staged(pairs, "pairs").join(side("b"), "b").join(side("a"), "a")
-        near = staged(near.mapInArrow(lambda it: _agreeing(it, floor), "a long, b long"), "near")
+            pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = staged(pairs, "pairs")
+        near = pairs.join(side("b"), "b").join(side("a"), "a").withColumn("g", F.col("home_a") * blocks + F.col("home_b"))
+        near = staged(near.mapInArrow(lambda it: _agreeing(it, floor), "g long, a long, b long"), "near")
+        discard(main, pairs)
         if near.isEmpty():
             break
         seen = near if seen is None else seen.unionByName(near)
-        now = components(confirm(near, "star_links"), now)
+        asked = near.groupBy("g", "a").agg(F.collect_list("b").alias("b")).select("g", "a", F.col("a").alias("ra"), "b", F.col("b").alias("rb"))
+        now = components(confirm(staged(asked, "asked"), "star_links"), now)
         state = roots.join(now, "node", "left").select("node", "tree", "path", F.coalesce("root", "node").alias("root"))
     if now is None:
         return sets.sparkSession.createDataFrame([], "node long, root long")
 
-    # What stars did not connect: nodes that hold more than one component.
-    named = sets.select("node", "sketch").join(now, "node", "left")
-    named = named.select("node", "sketch", F.coalesce("root", "node").alias("root"))
-    level = state
-    found: list[DataFrame] = []
+    # What stars did not connect: nodes that hold more than one component, level by level. What a level links is one component
+    # for the next, so that a group is compared across few components by the time its nodes are many.
+    named = homes
+    level, above = state, None
     for depth in range(1, levels + 1):
-        about = level.groupBy("path").agg(F.count("*").alias("n"), F.min("root").alias("r1"), F.max("root").alias("r2"))
-        about = staged(about.where("r1 != r2").select("path", "n"), "about")
+        about = level.groupBy("path", "root").count().groupBy("path")
+        about = about.agg(F.sum("count").alias("n"), F.max(F.struct("count", "root")).alias("x"), F.count("*").alias("roots"))
+        about = about.where("roots > 1").select("path", "n", F.col("x.root").alias("main"), (F.col("n") - F.col("x.count")).alias("outside"))
+        about = staged(about, "about")
         mixed = staged(level.join(about, "path"), "mixed")
-        end = F.lit(depth == levels)
+        discard(about, *([above] if above is not None else []))
+        above = mixed
+        compare = (F.col("outside") <= small) | F.lit(depth == levels)
         if depth == 1:  # bit t: the root node in tree t compares this class
-            done = mixed.where((F.col("n") <= small) | end).groupBy("node").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("done"))
+            done = mixed.where(compare).groupBy("node").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("done"))
             named = staged(named.join(done, "node", "left").withColumn("done", F.coalesce("done", F.lit(0).cast("long"))), "named")
-        found.append(_compared(mixed.where((F.col("n") <= small) | end), named, block, floor))
-        large = mixed.where((F.col("n") > small) & ~end)
+        asked = staged(_compared(mixed.where(compare), named, block, floor, blocks), "asked")
+        if not asked.isEmpty():
+            now = components(confirm(asked, "node_links"), now)
+        discard(asked)
+        large = mixed.where(~compare)
         if depth == levels or large.isEmpty():
             break
-        on = large.select("node", "root", "path").join(sets.select("node", "sketch"), "node")
+        on = large.select("node", "path").join(sets.select("node", "sketch"), "node").join(now, "node", "left")
         pick = F.explode(F.array(*[F.pmod(F.xxhash64("path", F.lit(k)), F.lit(FUNCTIONS - ROOTS)) for k in range(2)])).alias("k")
-        on = on.select("node", "root", "path", "sketch", pick)
+        on = on.select("node", F.coalesce("root", "node").alias("root"), "path", "sketch", pick)
         path = F.xxhash64("path", "k", short(F.col("k").cast("int")))
         level = on.select("node", F.lit(ROOTS).alias("tree"), "root", path.alias("path")).distinct()
-    across = reduce(DataFrame.unionByName, found).distinct().join(seen, ["a", "b"], "left_anti")
-    across = staged(across, "across")
-    if across.isEmpty():
-        return now
-    return components(confirm(across, "node_links"), now)
+    return now
 
 
-def _compared(level: DataFrame, named: DataFrame, block: int, floor: float) -> DataFrame:
+def _compared(level: DataFrame, named: DataFrame, block: int, floor: float, homes: int) -> DataFrame:
     """All pairs across components in each node, dealt out by blocks of base rows and blocks of query rows.
 
-    The component that fills most of a node is only base. Every other row is base and query, so no pair is left out.
+    level: (path, node, tree, root, n, main, outside). The component that fills most of a node, main, is only base. Every other row is base and query, so no pair is left out.
     """
-    most = level.groupBy("path", "root").count()
-    most = most.groupBy("path").agg(F.max(F.struct("count", "root")).alias("main"), F.sum("count").alias("n"))
     blocks = lambda n: F.greatest(F.ceil(n / block), F.lit(1)).cast("int")
-    most = most.select("path", F.col("main.root").alias("main"), blocks(F.col("n")).alias("bases"), blocks(F.col("n") - F.col("main.count")).alias("queries"))
-    rows = level.select("path", "node", "tree", "root").join(staged(most, "most"), "path")
+    rows = level.withColumns({"bases": blocks(F.col("n")), "queries": blocks(F.col("outside"))})
     own = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    base = rows.select("path", "node", "tree", "root", own(F.col("bases")).alias("base"), every("queries").alias("query"), F.lit(True).alias("is_base"))
+    base = rows.select("path", "node", "tree", "root", own(F.col("bases")).alias("base"), every("queries").alias("query"), F.lit(True).alias("is_base"), (F.col("root") != F.col("main")).alias("twice"))
     asks = rows.where("root != main")
-    asks = asks.select("path", "node", "tree", "root", every("bases").alias("base"), own(F.col("queries")).alias("query"), F.lit(False).alias("is_base"))
-    dealt = base.unionByName(asks).join(named.select("node", "sketch", "done"), "node")
-    dealt = dealt.select(F.xxhash64("path", "base", "query").alias("g"), "node", "tree", "done", "root", "is_base", "sketch")
+    asks = asks.select("path", "node", "tree", "root", every("bases").alias("base"), own(F.col("queries")).alias("query"), F.lit(False).alias("is_base"), F.lit(True).alias("twice"))
+    dealt = base.unionByName(asks).join(named.select("node", "sketch", "done", "home"), "node")
+    dealt = dealt.select(F.xxhash64("path", "base", "query").alias("g"), "node", "tree", "done", "home", "root", "is_base", "twice", "sketch")
     dealt = dealt.repartition("g").sortWithinPartitions("g")
-    return dealt.mapInArrow(lambda it: _in_nodes(it, floor), "a long, b long")
+    return dealt.mapInArrow(lambda it: _in_nodes(it, floor, homes), "g long, a long, ra long, b array<long>, rb array<long>")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, **how) -> DataFrame:
