@@ -137,14 +137,12 @@ def _in_nodes(batches: Iterator[pa.RecordBatch], floor: float, blocks: int) -> I
         start = np.flatnonzero(np.diff(group[order], prepend=group[order[0]] - 1))
         bases = np.add.reduceat(base[order].astype(np.int64), start)
         asks = np.diff(np.append(start, len(name))) - bases
-        total = np.cumsum(bases * asks)
-        cut = 0
-        while cut < len(start):  # groups with 200,000 pairs or so at a time
-            end = max(cut + 1, int(np.searchsorted(total, (total[cut - 1] if cut else 0) + 200_000)))
-            n = (bases * asks)[cut:end]
-            k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            first, per = np.repeat(start[cut:end], n), np.repeat(bases[cut:end], n)
-            b, q = first + k % per, first + per + k // per
+        upto = np.append(0, np.cumsum(bases * asks))
+        for low in range(0, int(upto[-1]), 50_000):  # so many pairs at a time, of one group or several
+            k = np.arange(low, min(low + 50_000, int(upto[-1])))
+            of = np.searchsorted(upto, k, side="right") - 1
+            k -= upto[of]
+            b, q = start[of] + k % bases[of], start[of] + bases[of] + k // bases[of]
             other = (root[b] != root[q]) & (~twice[b] | (name[q] > name[b]))  # a pair of two query rows is met both ways round
             b, q = b[other], q[other]
             near = _share(sketch, sketch, b, q) >= floor
@@ -161,7 +159,6 @@ def _in_nodes(batches: Iterator[pa.RecordBatch], floor: float, blocks: int) -> I
             ends = pa.array(np.append(first, len(q)).astype(np.int32))
             lists = [pa.ListArray.from_arrays(ends, pa.array(x[b])) for x in (name, root)]
             yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (g[first], name[q[first]], root[q[first]])), *lists], ["g", "a", "ra", "b", "rb"])
-            cut = end
 
 
 def linked_sets(
