@@ -165,6 +165,35 @@ def test_suffix_dedup_keeps_unnamed_rows(spark):
     assert sorted((str(r.doc_id), r.n_removed) for r in remove_repeats(df).collect()) == [("1", 0), ("2", len(text)), ("None", 0)]
 
 
+def test_suffix_dedup_of_ids_with_several_texts(spark):
+    one, two, three = (" ".join(words(60, 40 + k)) for k in range(3))
+    rows = [(7, one), (7, f"{two} own words {one[:120]}"), (7, one), (7, "short"), (7, None), (-3, three), (-3, f"x {three}"), (None, one)]
+    rows += [(9, f"{one} {two}"), (9, f"ab {two[5:]} and {one[9:]} {three}"), (9, one), (8, three[:80]), (1 << 40, f"{two} {three}")]
+    rows += [(d, f"{' '.join(words(20, d))} {one[d:]}") for d in (7, 9) for d in range(d * 100, d * 100 + 20)]
+    expected = []
+    for d, text in rows:
+        b = (text or "").encode()
+        less = [(t or "").encode() for e, t in rows if d is not None and e is not None and e < d]
+        gone = bytearray(len(b))
+        for k in range(len(b) - 49):
+            if any(b[k : k + 50] in x for x in less):
+                gone[k : k + 50] = b"\1" * 50
+        kept = bytes(c for c, g in zip(b, gone, strict=True) if not g)
+        expected.append((str(d), len(b), sum(gone), (b"\0" + bytes(gone)).count(b"\0\1"), kept))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for how in ({}, {"bucket_bytes": 1000}, {"bucket_bytes": 1000, "hot": 2}):
+        got = [(str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in remove_repeats(df.repartition(4), **how).collect()]
+        assert sorted(got) == sorted(expected)
+
+
+def test_suffix_dedup_deals_out_hot_anchors_of_pieces_with_several_documents(spark):
+    texts = [t or "" for t in corpus()]
+    random.Random(3).shuffle(texts)
+    for parts in (1, 9):
+        rows = remove_repeats(documents(spark, texts).repartition(parts), bucket_bytes=2000, hot=2).collect()
+        assert [(r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in sorted(rows)] == list(without_repeats(texts))
+
+
 def removed_lines(texts, min_words=5):
     spans, first = [], {}
     for d, text in enumerate(texts):
