@@ -637,3 +637,23 @@ def test_stock_status(spark):
     got = {r.sku_item_id: r for r in stock(domain(spark, **rows)).collect()}
     assert {k: r.sku_status for k, r in got.items()} == {f"IT{n}": s for n, (_, s) in enumerate(STATUS, start=10)}
     assert got["IT10"].order_line_id == "OL10" and got["IT10"].sku_name == "pen" and got["IT24"].reject_order_note == "RJ24"
+
+
+def test_stock_rows_without_a_reservation_are_dealt_out(spark):
+    plain = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in plain}
+    for k, v in plain.items():
+        spark.conf.set(k, v)
+    try:
+        rows: dict[str, list[dict]] = {}
+        for n in range(10, 14):
+            for table, listed in item(n, "IN", "STOCKED").items():
+                rows.setdefault(table, []).extend(listed)
+        df = stock(domain(spark, **rows))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        places = [x.split(")")[0] for x in plan.split("Exchange hashpartitioning(reservation_id")[1:]]
+        assert any("_dealt" in x for x in places)
+        assert df.where("reservation_id is null and order_id is null and sku_status is not null").count() == df.count() > 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
