@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,3 +172,21 @@ def test_fingerprints(spark, tmp_path):
     prints = [fingerprint(x) for x in (read("a"), read("b"), read("a").where("id > 1"), read("a").where("id > 2"), read("a").withColumnRenamed("id", "x"))]
     assert None not in prints and len(set(prints)) == 5
     assert fingerprint(spark.range(3)) is None and fingerprint(spark.createDataFrame([(1,)], "id int")) is None
+
+
+def test_stage_leaves_no_shuffle_files(spark, shared_dir):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {x for x in (files.apply(i).getName() for i in range(files.size())) if x.startswith("shuffle_")}
+
+    before = shuffled()
+    made = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):  # they are removed in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert made.count() == 7
+
