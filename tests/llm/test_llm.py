@@ -423,6 +423,76 @@ def test_quality(spark):
     assert classify(docs.limit(0), trusted).count() == 0
 
 
+def perplexities(texts, trusted, prior=100):
+    """Modified Kneser-Ney over words and word pairs, plainly: doc to perplexity; one language."""
+
+    def symbols(text):
+        w = (text or "").translate({k: k + 32 for k in range(65, 91)}).split()
+        return ["<s>", *w, "</s>"] if w else []
+
+    def cuts(counts):
+        n1, n2, n3, n4 = (sum(n == i for n in counts) for i in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+        return [min(i, max(0.05, i - (i + 1) * y * b / a)) if a and b else 0.5 * i for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+
+    all_pairs = Counter(p for i in trusted for p in itertools.pairwise(symbols(texts[i])))
+    all_words = Counter(w for i in trusted for w in symbols(texts[i]))
+    kinds = Counter(b for _, b in all_pairs)
+    cut, cut_pair = cuts(kinds.values()), cuts(all_pairs.values())
+    total, less = Counter(), Counter()
+    for (a, _), n in all_pairs.items():
+        total[a] += n
+        less[a] += cut_pair[min(n, 3) - 1]
+    unknown = sum(cut[min(n, 3) - 1] for n in kinds.values()) / len(all_pairs) / (len(kinds) + 1)
+    bits, size = {}, {}
+    for i, text in enumerate(texts):
+        s = symbols(text)
+        own_pairs, own_words = Counter(itertools.pairwise(s)), Counter(s)
+        bits[i], size[i] = 0.0, max(0, len(s) - 1)
+        held = lambda w: all_words[w] > (own_words[w] if i in trusted else 0)  # noqa: B023, E731
+        for a, b in itertools.pairwise(s):
+            one = (kinds[b] - cut[min(kinds[b], 3) - 1]) / len(all_pairs) + unknown if kinds[b] else unknown
+            p = (one if held(b) else unknown) * (less[a] / total[a] if held(a) and total[a] else 1)
+            n = all_pairs[a, b]
+            if n > (own_pairs[a, b] if i in trusted else 0):
+                p *= 1 + (n - cut_pair[min(n, 3) - 1]) / (less[a] * one)
+            bits[i] -= np.log2(p)
+    mean = sum(bits[i] for i in trusted) / sum(size[i] for i in trusted)
+    return {i: 2 ** ((bits[i] + prior * mean) / (size[i] + prior)) for i in bits}
+
+
+@pytest.mark.parametrize("least", [1_000_000, 0])
+def test_quality_is_kneser_ney_of_words(spark, monkeypatch, least):
+    from parcelmart.llm import quality
+
+    monkeypatch.setattr(quality, "PASSES", ((0, 1), (least, 3)))
+    texts = [" ".join(words(60, k, 40)) for k in range(30)]
+    texts += [texts[3], " ".join(sorted(texts[4].split())), "W1 w2\tw3\n\x0bé", "new words only", "w1", "w1 w1 " * 50, None, "", " \n"]
+    trusted = [*range(30), 32, 36]
+    want = perplexities(texts, trusted)
+    rows = classify(documents(spark, texts), spark.createDataFrame([(i,) for i in [*trusted, *trusted, None]], "doc_id long")).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r.perplexity == pytest.approx(want[r.doc_id], rel=1e-4), texts[r.doc_id]
+        assert r.n_symbols == (len(texts[r.doc_id].split()) + 1 if (texts[r.doc_id] or "").split() else 0)
+
+
+def test_quality_looks_at_the_order_of_words(spark):
+    lines = [words(12, k, 3000) for k in range(40)]
+    rnd = random.Random(5)
+    texts = [" ".join(w for line in rnd.choices(lines, k=8) for w in line) for _ in range(80)]
+    for k in range(10):
+        w = texts[k].split()
+        rnd.shuffle(w)
+        texts.append(" ".join(w))
+    docs = documents(spark, texts)
+    twice = docs.unionAll(docs.where("doc_id in (0, 80)"))
+    rows = classify(twice, docs.where("doc_id < 60").select("doc_id"), prior=10).collect()
+    assert Counter(r.doc_id for r in rows) == Counter([*range(90), 0, 80])
+    assert len({(r.doc_id, r.accepted, round(r.perplexity, 6)) for r in rows}) == 90
+    assert all(r.accepted == (r.doc_id < 80) for r in rows)
+
+
 def test_toxicity(spark):
     rnd = random.Random(1)
     texts, toxic = [], []
