@@ -493,6 +493,32 @@ def test_quality_looks_at_the_order_of_words(spark):
     assert all(r.accepted == (r.doc_id < 80) for r in rows)
 
 
+def test_quality_cells_are_narrow_and_in_order():
+    import pyarrow as pa
+
+    from parcelmart.llm import quality
+
+    h = np.array([5 << 40 | 7, 5 << 40, 9 << 50, 5 << 40 | 7, 5 << 40], np.uint64)
+    assert quality._order(h).tolist() == [1, 4, 0, 3, 2]
+    assert quality._order(h[:0]).tolist() == []
+    texts = [" ".join(words(40, k, 50)) for k in range(6)] + ["w1 " * 300, "W1", None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(len(texts)))], ["text", "_k"])
+    seen = Counter()
+    for part in range(3):
+        for cell in pa.Table.from_batches(quality._asked(iter([batch]), part, 3, 5)).to_pylist():
+            h, n = np.frombuffer(cell["g"], np.uint64), quality._wide(cell["n"], len(cell["g"]) // 8)
+            key, doc = np.frombuffer(cell["x"], np.int64), np.frombuffer(cell["doc"], np.uint8)
+            assert len(doc) == len(h) and (h[1:] >= h[:-1]).all() and (n.itemsize == 1 or n.max() > 255)
+            for name, i, count in zip(h.tolist(), key[doc].tolist(), n.tolist(), strict=True):
+                assert (name, i) not in seen
+                seen[name, i] = count
+    for i, text in enumerate(texts):
+        w = (text or "").lower().split()
+        w = ["<s>", *w, "</s>"] if w else []
+        want = [*Counter(w).values(), *Counter(itertools.pairwise(w)).values()]
+        assert sorted(want) == sorted(n for (_, j), n in seen.items() if j == i)
+
+
 def test_toxicity(spark):
     rnd = random.Random(1)
     texts, toxic = [], []
