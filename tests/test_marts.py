@@ -364,6 +364,16 @@ def test_legs(marts):
     assert drop == {"inscan_time": None, "outscan_time": "08-09-2018 10:00:00", "shipment_sort_time": None, "attempt_count": 0}
 
 
+def test_leg_logs_are_cut_to_the_run(spark):
+    ship = "S" * legs_plan.SHIPMENT_ID_LENGTH
+    rows = [("B1", ship + "-1", 1), ("B2", ship, 0), ("B3", "T" + ship, 1), ("B4", None, 1), ("B5", ship, 1)]
+    t = domain(spark, ds_sqls_bag_shipment_mapping=[{"bag_id": b, "vendor_id": "V", "shipment_id": s, "current_active": a} for b, s, a in rows])
+    ids = spark.createDataFrame([(ship,), (ship,), (None,)], "shipment_id string")
+    assert values(legs_plan.bagged(t, ids), "bag", "shipment_id") == [("B1", ship), ("B5", ship)]
+    plan = legs_plan.legs(tables(spark), PARAMS)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("LeftSemi") >= 14  # two of them are for units
+
+
 def test_bag_consignments(spark):
     assert values(legs_plan.bag_consignments(tables(spark)), "bag_id", "shipment_id", "consignments", "first_mapped_at") == [("B1", "S3", 1, 5)]
 
