@@ -556,6 +556,33 @@ def test_pipeline(spark, tmp_path):
     assert len(texts) - 1 not in set(got.doc_id) and len(texts) - 2 in set(got.doc_id)
 
 
+def test_quality_stage_is_kneser_ney_of_words(spark, tmp_path):
+    import corpus_pipeline
+
+    lines = [words(12, 60 + k, 3000) for k in range(40)]
+    rnd = random.Random(7)
+    texts = [" ".join(w for line in rnd.choices(lines, k=60) for w in line) for _ in range(30)]
+    for k in range(8):
+        w = texts[k].split()
+        rnd.shuffle(w)
+        texts.append(" ".join(w))
+    texts += ["w1 w1 " * 300, "new words only " * 200, "w1 w2", None, "", " \n"]
+    trusted = range(24)
+    size = perplexities(texts, trusted)
+    limit = 1.05 * max(size[i] for i in trusted)
+    assert all(abs(size[i] / limit - 1) > 1e-3 for i in size)
+    want = {i for i in size if size[i] <= limit or not (texts[i] or "").split()}
+    assert want.issuperset(range(30)) and not want.intersection(range(30, 38))
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    rows += [(None, texts[0], "en", "s", 1), (None, texts[30], "en", "s", 1), rows[3], rows[31]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = [*((i, 1, 0) for i in trusted), *((i, 0, 0) for i in range(24, 36)), (36, None, 0), (None, 1, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    left = corpus_pipeline.quality(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    assert Counter(map(tuple, left.collect())) == Counter(r for r in rows if r[0] in want or r[1] == texts[0])
+
+
 def test_near_dup_stage_keeps_one_row_of_each_group(spark):
     import corpus_pipeline
 
