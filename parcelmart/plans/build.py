@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from parcelmart.operators.publish import publish, run
+from parcelmart.operators.publish import publish, run, stage
 from parcelmart.params import RunParams
 from parcelmart.plans.lanes import lanes
 from parcelmart.plans.legs import legs
@@ -39,9 +39,9 @@ def build(
             return publish(df, f"{target.rstrip('/')}/{mart}", fmt=fmt, distinct=distinct, keep=keep)
 
         done = {"lanes": put("lanes", lanes(t), distinct=True), "stock": put("stock", stock(t))}
-        done["legs"] = put("legs", legs(t, p))
+        done["legs"] = put("legs", legs(t, p, put=stage))
         core = done["support_core"] = put("support_core", support_core(t))
         done["shipments"] = put("shipments", shipments(t, p, done["legs"], core))
-        done["returns"] = put("returns", returns(t, p, done["shipments"]))
+        done["returns"] = put("returns", returns(t, p, done["shipments"], put=stage))
         done["support"] = put("support", support(t, done["shipments"], core))
         return done

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +24,8 @@ from parcelmart.functions.times import (
 from parcelmart.operators.collect import gather
 from parcelmart.operators.fold import Figure, First, Last, count, fold, merge, newest
 from parcelmart.operators.lookup import DEALT, deal, enrich
-from parcelmart.operators.publish import stage
+from parcelmart.operators.pack import Chain, Put, columns_read, completed, pack, unstaged
+from parcelmart.operators.publish import discard, stage
 from parcelmart.operators.rows import current_rows, latest
 from parcelmart.operators.timeline import count_when, first_when, last_when
 from parcelmart.params import RunParams
@@ -42,6 +43,40 @@ ATTEMPT_LIMIT_DAYS = 2
 # Shown where the replacement has no shipment (fixed value).
 NO_SHIPMENT = "order_status"
 
+# What the mart reads of the shipment mart, of the forward shipment and of the replacement's.
+OF_FORWARD = """
+    fm_service seller_city seller_state seller_pincode seller_mobile_number seller_address buyer_city buyer_state
+    buyer_pincode buyer_mobile_number buyer_address category sub_category vertical lane weight shipment_amount
+    logistics_amount payment_mode
+""".split()
+OF_FORWARD_RENAMED = {
+    "fwd_order_id": "seller_order_id",
+    "fwd_vendor": "vendor",
+    "fwd_awb_number": "awb_number",
+    "fwd_listing_titles": "listing_title",
+    "fwd_order_date": "order_date",
+    "fwd_rts": "rts_date",
+    "fwd_shipped": "first_shipped_date",
+    "fwd_rto": "rto_date",
+    "fwd_del": "del_date",
+    "fwd_promise": "fwd_promise_date",
+    "slc_promise": "slc_promise_at",
+}
+OF_REPLACEMENT = {
+    "return_shipment_id": "shipment_group_id",
+    "return_shipment_amount": "shipment_amount",
+    "return_logistics_amount": "logistics_amount",
+    "return_awb_number": "awb_number",
+    "return_listing_titles": "listing_title",
+    "return_vendor": "vendor",
+    "return_order_type": "order_type",
+    "return_order_date": "order_date",
+    "return_rts_date": "rts_date",
+    "return_shipped_date": "first_shipped_date",
+    "return_delivered_date": "del_date",
+}
+SHIPMENT_COLUMNS = tuple(dict.fromkeys((*OF_FORWARD, *OF_FORWARD_RENAMED.values(), *OF_REPLACEMENT.values())))
+
 
 def first_requests(t: Tables) -> DataFrame:
     """First version of each request."""
@@ -225,9 +260,22 @@ def account_details(document: str) -> list[Column]:
     return [text, holder]
 
 
-def returns(t: Tables, p: RunParams, shipments: DataFrame) -> DataFrame:
-    """One row per live return request and reverse shipment."""
+#: What the lookups go by; the rest is left out of what is staged unless it is read.
+KEYS = frozenset(
+    "return_id repayment_mode seller_id buyer_id fwd_shipment_id repay_id rev_shipment_id return_shipment_id lane".split()
+)
+
+
+def _looked_up(
+    t: Tables, shipments: DataFrame, scans: tuple[DataFrame, dict[str, Figure]], put: Put, read: Collection[str] | None
+) -> DataFrame:
+    """Live returns with all that is looked up for them; ``read`` names the columns that are read of the result (default: all).
+
+    ``put`` may stage what is looked up, and the rows on their way, so that the logs of few lookups are on disk at a time.
+    """
     c = F.col
+    chain = Chain(put, read, KEYS)
+    states, figures = scans
     rows = current_rows(t["ds_sqls_returns"]).select(
         "return_id",
         c("state").alias("current_status"),
@@ -242,7 +290,6 @@ def returns(t: Tables, p: RunParams, shipments: DataFrame) -> DataFrame:
         c("reason").alias("return_reason"),
         "non_listed_items",
     )
-    states, figures = scan_states(t)
     # Keyed by return.
     by_return = {"return_id": "return_id"}
     items = t["ds_sqls_return_items"].select(
@@ -251,84 +298,66 @@ def returns(t: Tables, p: RunParams, shipments: DataFrame) -> DataFrame:
     actions = t["npr_data2"].select(
         "return_id", c("npr_date").alias("npr_action_date"), c("comment").alias("npr_action"), c("type").alias("npr_bucket_type")
     )
-    for part in (first_requests(t), request_log(t), refund_conversions(t), reschedules(t, states), actions, items):
-        rows = enrich(rows, part, by_return)
+    of_return = (first_requests(t), request_log(t), refund_conversions(t), reschedules(t, states), actions, items)
+    rows = chain.add(rows, pack(rows.select("return_id"), "return_id", [(log, "return_id") for log in of_return]), by_return)
+    rows = chain.cut(rows)
     # Keyed by the reverse shipment, which returns without pickup have not: their rows are spread.
-    rows, dealt = deal(rows, ["rev_shipment_id"])
-    for part, key in (
-        (reverse_shipments(t), "shipment_group_id"),
-        (pickup_attempts(t, states, figures), "shipment_group_id"),
-        (pickup_attempt_counts(t, states, figures), "return_shipment_id"),
-        (pickup_failures(states, figures), "shipment_group_id"),
-        (reverse_hub_tasks(t), "shipment_id"),
-        (undelivered_reasons(t), "shipment_id"),
-    ):
-        rows = enrich(rows, part, {key: "rev_shipment_id"}, dealt=dealt)
+    ids = rows.select("rev_shipment_id")
     live_tasks = current_rows(t["ds_sqls_hub_task"]).select("shipment_id", "hub_task_state").distinct()
-    rows = enrich(rows, live_tasks, {"shipment_id": "rev_shipment_id"}, {"rev_hub_status": "hub_task_state"}, dealt=dealt)
-    rows = rows.drop(DEALT)
-    # Keyed by the forward shipment.
-    of_forward = """
-        fm_service seller_city seller_state seller_pincode seller_mobile_number seller_address buyer_city buyer_state
-        buyer_pincode buyer_mobile_number buyer_address category sub_category vertical lane weight shipment_amount
-        logistics_amount payment_mode
-    """.split()
-    renamed = {
-        "fwd_order_id": "seller_order_id",
-        "fwd_vendor": "vendor",
-        "fwd_awb_number": "awb_number",
-        "fwd_listing_titles": "listing_title",
-        "fwd_order_date": "order_date",
-        "fwd_rts": "rts_date",
-        "fwd_shipped": "first_shipped_date",
-        "fwd_rto": "rto_date",
-        "fwd_del": "del_date",
-        "fwd_promise": "fwd_promise_date",
-        "slc_promise": "slc_promise_at",
-    }
-    rows = enrich(
-        rows, shipments, {"shipment_group_id": "fwd_shipment_id"}, {**{n: n for n in of_forward}, **renamed}
+    packs = (
+        [(reverse_shipments(t), "shipment_group_id")],
+        [
+            (pickup_attempts(t, states, figures), "shipment_group_id"),
+            (pickup_attempt_counts(t, states, figures), "return_shipment_id"),
+            (pickup_failures(states, figures), "shipment_group_id"),
+        ],
+        [
+            (reverse_hub_tasks(t), "shipment_id"),
+            (undelivered_reasons(t), "shipment_id"),
+            (live_tasks, "shipment_id", {"rev_hub_status": "hub_task_state"}),
+        ],
     )
+    rows, dealt = deal(rows, ["rev_shipment_id"])
+    for lookups in packs:
+        rows = chain.add(rows, pack(ids, "rev_shipment_id", lookups), {"rev_shipment_id": "rev_shipment_id"}, dealt=dealt)
+    rows = chain.cut(rows.drop(DEALT))
+    # Keyed by the forward shipment.
+    of_forward = {**{n: n for n in OF_FORWARD}, **OF_FORWARD_RENAMED}
+    rows = enrich(rows, shipments, {"shipment_group_id": "fwd_shipment_id"}, of_forward)
     # Keyed by what was given for the return: a refund, or a replacement order.
     is_replacement, is_refund = c("repayment_mode") == "REPLACEMENT", c("repayment_mode") == "REFUND"
-    replaced = {
-        "return_shipment_id": "shipment_group_id",
-        "return_shipment_amount": "shipment_amount",
-        "return_logistics_amount": "logistics_amount",
-        "return_awb_number": "awb_number",
-        "return_listing_titles": "listing_title",
-        "return_vendor": "vendor",
-        "return_order_type": "order_type",
-        "return_order_date": "order_date",
-        "return_rts_date": "rts_date",
-        "return_shipped_date": "first_shipped_date",
-        "return_delivered_date": "del_date",
-    }
     rows, dealt = deal(rows, ["repay_id"])
-    rows = enrich(rows, shipments, {"seller_order_id": "repay_id"}, replaced, when=is_replacement, dealt=dealt)
-    rows = enrich(rows, order_states(t), {"order_id": "repay_id"}, when=is_replacement, dealt=dealt)
+    rows = enrich(rows, shipments, {"seller_order_id": "repay_id"}, OF_REPLACEMENT, when=is_replacement, dealt=dealt)
+    by_order = {"order_id": "repay_id"}
+    rows = chain.add(rows, order_states(t), by_order, when=is_replacement, dealt=dealt)
     refunds = current_rows(t["ds_sqls_refund_line"])
-    rows = enrich(
-        rows, refunds, {"refund_line_id": "repay_id"}, {"refund_amount": c("refund_amount_paise") / 100}, when=is_refund, dealt=dealt
-    )
+    paid = {"refund_amount": c("refund_amount_paise") / 100}
+    rows = chain.add(rows, refunds, {"refund_line_id": "repay_id"}, paid, when=is_refund, dealt=dealt)
     holds = t["ds_sqls_seller_order"].select(
         "order_id", *json_fields("extra_data", {"hold_reason": "$.hold_reason", "hold_till": "$.hold_till_millis"})
     ).distinct()
-    rows = enrich(rows, holds, {"order_id": "repay_id"}, dealt=dealt).drop(DEALT)
+    rows = chain.add(rows, holds, by_order, dealt=dealt)
+    rows = chain.cut(rows.drop(DEALT))
     live = current_rows(t["ds_sqls_shipment_group"])
-    rows = enrich(rows, live, {"shipment_group_id": "return_shipment_id"}, {"replacement_shipment_status": "shipment_status"})
+    rows = chain.add(rows, live, {"shipment_group_id": "return_shipment_id"}, {"replacement_shipment_status": "shipment_status"})
     # Dimensions.
     account, holder = account_details("data")
-    rows = enrich(rows, t["ds_sqls_orgs"], {"org_id": "seller_id"}, {"seller_name": "display_name"})
+    rows = chain.add(rows, t["ds_sqls_orgs"], {"org_id": "seller_id"}, {"seller_name": "display_name"})
+    rows = chain.add(rows, seller_maturity(t), {"seller_id": "seller_id"})
+    rows = chain.cut(rows)
     rows = enrich(
         rows,
         t["ds_sqls_orgs"],
         {"org_id": "buyer_id"},
         {"buyer_name": "display_name", "account_details": account, "account_holder_name": holder},
     )
-    rows = enrich(rows, seller_maturity(t), {"seller_id": "seller_id"})
-    rows = enrich(rows, t["ds_sqls_lane_sla"].distinct(), {"zone": "lane"}, {"max_sla": "sla_max"})
+    return enrich(rows, t["ds_sqls_lane_sla"].distinct(), {"zone": "lane"}, {"max_sla": "sla_max"})
 
+
+def _finished(rows: DataFrame, p: RunParams) -> DataFrame:
+    """The mart's columns of the joined rows."""
+    c = F.col
+    is_replacement = c("repayment_mode") == "REPLACEMENT"
     today = F.lit(p.today_ms)
     state, group = c("current_status"), V.vendor_group(c("rev_vendor"))
     # One of the two vendors of the second group has pickups.
@@ -356,9 +385,9 @@ def returns(t: Tables, p: RunParams, shipments: DataFrame) -> DataFrame:
     """.split()
     return rows.select(
         *same,
-        *of_forward,
-        *renamed,
-        *replaced,
+        *OF_FORWARD,
+        *OF_FORWARD_RENAMED,
+        *OF_REPLACEMENT,
         F.when(c("converted_at").isNotNull(), "REFUND").alias("current_repay_mode"),
         day("converted_at").alias("refund_conversion_date"),
         day("disputed_at").alias("dispute_date"),
@@ -397,4 +426,26 @@ def returns(t: Tables, p: RunParams, shipments: DataFrame) -> DataFrame:
         way_back_days.alias("rev_s2d"),
         F.when(pick_up_days < 0, F.lit(0.0)).otherwise(pick_up_days).alias("rev_pick_up_time"),
         replacement_days.alias("return_s2d"),
-    ).distinct()
+    )
+
+
+def returns(
+    t: Tables, p: RunParams, shipments: DataFrame, only: Sequence[str] | None = None, put: Put = unstaged
+) -> DataFrame:
+    """One row per live return request and reverse shipment.
+
+    ``only`` names the columns that are read of the mart (all by default): the rows are the distinct rows of these. With
+    ``put=stage`` what is looked up is staged on the way, as far as it is read.
+    """
+
+    def finished(rows: DataFrame) -> DataFrame:
+        done = _finished(rows, p)
+        return (done.select(*only) if only else done).distinct()
+
+    scans = scan_states(t)
+    draft = _looked_up(t, shipments, scans, unstaged, None)
+    if put is unstaged:
+        return finished(draft)
+    done = finished(completed(_looked_up(t, shipments, scans, put, columns_read(draft, finished)), draft))
+    discard(scans[0])
+    return done
