@@ -38,7 +38,7 @@ def build(
         def put(mart: str, df: DataFrame, distinct: bool = False) -> DataFrame:
             return publish(df, f"{target.rstrip('/')}/{mart}", fmt=fmt, distinct=distinct, keep=keep)
 
-        done = {"lanes": put("lanes", lanes(t), distinct=True), "stock": put("stock", stock(t))}
+        done = {"lanes": put("lanes", lanes(t), distinct=True), "stock": put("stock", stock(t, put=stage))}
         done["legs"] = put("legs", legs(t, p, put=stage))
         core = done["support_core"] = put("support_core", support_core(t))
         done["shipments"] = put("shipments", shipments(t, p, done["legs"], core))

@@ -6,7 +6,8 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
-from tests.test_marts import PARAMS, tables
+from tests.conftest import domain
+from tests.test_marts import PARAMS, STATUS, item, tables
 
 from parcelmart.operators.lookup import enrich
 from parcelmart.operators.pack import Chain, add_for_tuples, columns_read, completed, pack, part, unstaged
@@ -14,6 +15,7 @@ from parcelmart.operators.publish import discard, stage
 from parcelmart.plans.legs import legs
 from parcelmart.plans.returns import SHIPMENT_COLUMNS, returns
 from parcelmart.plans.shipments import LEG_COLUMNS, shipments
+from parcelmart.plans.stock import stock
 from parcelmart.plans.support import support, support_core
 
 
@@ -108,3 +110,16 @@ def test_support_shuffles_the_orders_it_is_about(spark):
     t = tables(spark)
     done = support(t, stage(shipments(t, PARAMS, legs(t, PARAMS), support_core(t))))
     assert plan_of(done).count("LeftSemi") == 2
+
+
+def test_staged_stock_has_the_rows_of_the_whole_one(spark):
+    rows: dict[str, list[dict]] = {}
+    for n, ((note, state, more), _) in enumerate(STATUS, start=10):
+        for table, listed in item(n, note, state, **more).items():
+            rows.setdefault(table, []).extend(listed)
+    t = domain(spark, **rows)
+    whole, columns = stock(t), ["sku_item_id", "sku_status", "order_line_id"]
+    staged = stock(t, put=stage)
+    assert sorted_rows(staged) == sorted_rows(whole) and whole.count() > 0
+    assert plan_of(staged).count("Join") < 3 < 10 < plan_of(whole).count("Join")
+    assert sorted_rows(stock(t, columns, stage)) == sorted_rows(whole.select(*columns).distinct())
